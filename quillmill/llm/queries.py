@@ -10,10 +10,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillmill.llm import jaccard, mixing, quality
+from quillmill.llm import jaccard, mixing, quality, repeats, tokens
 from quillmill.llm.base import table
 
 
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.pack(table(spark, sf_dir, "documents"), tokens.public_encoding)
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_plan(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "rate", "copies")
 
@@ -26,5 +30,9 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_mixing, op3_quality, op8_jaccard_join)}
+def op9_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, sf_dir, "documents"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_packing, op2_mixing, op3_quality, op8_jaccard_join, op9_suffix_repeats)}
 ORACLES: dict[str, str] = {}
