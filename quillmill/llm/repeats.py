@@ -20,6 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -281,7 +282,7 @@ def _open_bytes(open_runs: DataFrame, docs: DataFrame, doc_id: str, text: str, l
                 data, offsets = flat(part.column(1))
                 lists = part.column(2)
                 code = np.asarray(lists.flatten())
-                own = np.repeat(np.arange(len(part)), np.asarray(pa.compute.list_value_length(lists)))
+                own = np.repeat(np.arange(len(part)), np.asarray(pc.list_value_length(lists)))
                 hot, count, pos = (code & 1) > 0, (code >> 1 & 63) + 1, code >> 7
                 start = offsets[own] + pos
                 ok = start + count + least - 1 <= offsets[own + 1]  # an id on several texts
