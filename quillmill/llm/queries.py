@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillmill.llm import fingerprints, jaccard, mixing, quality, repeats, tokens
+from quillmill.llm import fingerprints, jaccard, mixing, quality, repeats, tokens, toxicity
 from quillmill.llm.base import table
 
 
@@ -30,6 +30,10 @@ def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare_next(table(spark, sf_dir, "documents"))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -38,5 +42,5 @@ def op9_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeats(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_packing, op2_mixing, op3_quality, op4_fingerprints, op8_jaccard_join, op9_suffix_repeats)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_packing, op2_mixing, op3_quality, op4_fingerprints, op7_toxicity, op8_jaccard_join, op9_suffix_repeats)}
 ORACLES: dict[str, str] = {}
