@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillmill.llm import jaccard, mixing, quality
+from quillmill.llm import jaccard, mixing, pii, quality, tokens
 from quillmill.llm.base import stage_folder, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -22,12 +22,28 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return jaccard.one_of_each(docs)
 
 
+def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with their personal data replaced by its kind."""
+    return pii.redact(docs)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as its source's target asks."""
     return mixing.mix(docs)
 
 
-STAGES: list[tuple[str, Stage]] = [("quality rules", quality_rules), ("n-gram jaccard join", near_duplicates), ("mixing", mix_sources)]
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of documents packed into sequences."""
+    return tokens.pack(docs, tokens.public_encoding)
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("quality rules", quality_rules),
+    ("n-gram jaccard join", near_duplicates),
+    ("personal data", redact),
+    ("mixing sources", mix_sources),
+    ("packing", pack),
+]
 #: No SQL gives these rows: language models, similarity groups and packing are in them. tests/llm holds each stage to a brute-force version.
 ORACLE_SQL = None
 

@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillmill.llm import fingerprints, jaccard, mixing, quality, repeats, tokens, toxicity
+from quillmill.llm import fingerprints, jaccard, licences, mixing, pii, quality, repeats, revisits, tokens, toxicity
 from quillmill.llm.base import table
 
 
@@ -30,6 +30,14 @@ def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare_next(table(spark, sf_dir, "documents"))
 
 
+def op5_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(table(spark, sf_dir, "documents"))
+
+
+def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(table(spark, sf_dir, "documents"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -42,5 +50,10 @@ def op9_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeats(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_packing, op2_mixing, op3_quality, op4_fingerprints, op7_toxicity, op8_jaccard_join, op9_suffix_repeats)}
-ORACLES: dict[str, str] = {}
+def op10_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return revisits.resolved_pages(table(spark, sf_dir, "pages"))
+
+
+_ALL = (op1_packing, op2_mixing, op3_quality, op4_fingerprints, op5_licences, op6_personal_data, op7_toxicity, op8_jaccard_join, op9_suffix_repeats, op10_revisits)
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in _ALL}
+ORACLES: dict[str, str] = {"op5_licences": licences.scan_sql(), "op10_revisits": revisits.RESOLVED_SQL}
