@@ -18,7 +18,7 @@ from quillmill.llm.base import checkpoint, small_enough
 #: Words are runs of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 #: Seeds tried for a source's Bernoulli draws; the one whose total comes nearest the target is used.
-SEEDS = 32
+SEEDS = 64
 _SALTS = 64
 
 

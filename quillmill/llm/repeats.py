@@ -226,6 +226,8 @@ def _settled(packed: DataFrame, buckets: int, partitions: int) -> DataFrame:
             own, pos, count = read("<u2" if m < 1 << 16 else "<u4", n), read("<u4", n), read("u1", n)
             parts.append((g, h, docs[own], pos.astype(np.int64), (count & 127).astype(np.int64), count > 127))
         g, h, doc, pos, count, flag = (np.concatenate(x) for x in zip(*parts, strict=True))
+        if not len(g):
+            return
         # most strings have one run
         order = np.argsort(g)
         same = g[order][1:] == g[order][:-1]
