@@ -22,7 +22,7 @@ BUCKETS = 1 << 16
 #: Labelled documents that the trusted multinomial is counted over: those with the smallest hashes of their ids.
 TRUSTED = 20_000
 #: Texts whose mean log ratio is lower are rejected.
-THRESHOLD = -0.3
+THRESHOLD = -0.7
 #: Counts added to each bucket, as if so many 4-grams had been seen, spread as in the raw corpus.
 PRIOR = 100_000.0
 _SLICE = 1 << 20
