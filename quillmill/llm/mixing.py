@@ -19,6 +19,9 @@ from quillmill.llm.base import checkpoint, small_enough
 WORD = r"[^\x20\x09-\x0D]+"
 #: Seeds tried for a source's Bernoulli draws; the one whose total comes nearest the target is used.
 SEEDS = 64
+PRIME = (1 << 31) - 1
+#: Each seed's factor: the powers of a primitive root.
+FACTORS = [pow(48271, k + 1, PRIME) for k in range(SEEDS)]
 _SALTS = 64
 
 
@@ -60,10 +63,10 @@ def targets(sources: DataFrame, weights: tuple[float, ...], most: float) -> Data
     return ranked.withColumn("target", F.least(F.lit(most) * F.col("source_size"), F.lit(level) * F.col("weight"))).drop("weight", "rank")
 
 
-def _draw(seed: Column | int) -> Column:
-    """A number in [0, 1) from the document's key and the seed."""
-    seed = seed if isinstance(seed, Column) else F.lit(seed)
-    return F.shiftrightunsigned(F.xxhash64("key", seed), 11) / F.lit(float(1 << 53))
+def _draw(factor: Column | int) -> Column:
+    """A number in [0, 1) from the row's key and a seed's factor: multiplication modulo a prime shuffles the keys anew."""
+    factor = factor if isinstance(factor, Column) else F.lit(factor)
+    return (F.col("key") * factor.cast("long") % F.lit(PRIME)) / F.lit(float(PRIME))
 
 
 def _with_sources(docs: DataFrame, sources: DataFrame) -> DataFrame:
@@ -77,8 +80,10 @@ def _with_sources(docs: DataFrame, sources: DataFrame) -> DataFrame:
 
 
 def _keyed(docs: DataFrame, doc_id: str, text: str, source: str) -> list[Column]:
-    filled = F.coalesce(F.col(text), F.lit(""))
-    return [F.col(source).alias("source"), n_words(text).alias("size"), F.xxhash64(F.col(doc_id), filled, F.col(source)).alias("key")]
+    """source, size, and key: a number below PRIME from a digest of the id, the text and the source."""
+    digest = F.md5(F.concat_ws("|", F.col(doc_id).cast("string"), F.coalesce(F.col(text), F.lit("")), F.col(source)).cast("binary"))
+    key = F.conv(F.substring(digest, 1, 15), 16, 10).cast("long") % F.lit(PRIME)
+    return [F.col(source).alias("source"), n_words(text).alias("size"), key.alias("key")]
 
 
 def _rates(slim: DataFrame, weights: tuple[float, ...], most: float) -> DataFrame:
@@ -87,9 +92,9 @@ def _rates(slim: DataFrame, weights: tuple[float, ...], most: float) -> DataFram
     rates = rates.withColumn("rate", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0)))
     rates = checkpoint(rates.withColumn("base", F.floor("rate")).withColumn("fraction", F.col("rate") - F.floor("rate")))
     # the extra copies' words under every seed, in one pass of partial sums; then the seed that comes nearest
-    extra = [F.sum(F.when(_draw(k) < F.col("fraction"), F.col("size")).otherwise(0)).alias(f"s{k}") for k in range(SEEDS)]
+    extra = [F.sum(F.when(_draw(FACTORS[k]) < F.col("fraction"), F.col("size")).otherwise(0)).alias(f"s{k}") for k in range(SEEDS)]
     drawn = _with_sources(slim, rates).groupBy("source").agg(F.first(F.col("fraction") * F.col("source_size")).alias("goal"), *extra)
-    offs = F.array(*[F.struct(F.abs(F.col(f"s{k}") - F.col("goal")).alias("off"), F.lit(k).alias("seed")) for k in range(SEEDS)])
+    offs = F.array(*[F.struct(F.abs(F.col(f"s{k}") - F.col("goal")).alias("off"), F.lit(k).alias("k"), F.lit(FACTORS[k]).alias("seed")) for k in range(SEEDS)])
     seeds = drawn.select(F.col("source").alias("_seeded"), F.array_min(offs)["seed"].alias("seed"))
     return checkpoint(rates.join(seeds, F.col("source").eqNullSafe(F.col("_seeded"))).drop("_seeded"))
 
@@ -116,3 +121,25 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), most: float = 3
     whole = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"), *_keyed(docs, doc_id, text, source))
     out = _with_sources(whole, rates).withColumn("copies", _copies()).filter("copies > 0")
     return out.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")
+
+
+def plan_sql(weights: tuple[float, ...] = (5, 2, 1), most: float = 3.0) -> str:
+    """mix_plan() of documents in DuckDB's SQL; the level is found from sums in the order of size by weight."""
+    factors = ", ".join(f"({k}, {c})" for k, c in enumerate(FACTORS))
+    return rf"""
+WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+  ('0x' || substr(md5(concat_ws('|', doc_id::VARCHAR, coalesce(text, ''), source)), 1, 15))::BIGINT % {PRIME} AS key FROM documents),
+s AS (SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS rank FROM d GROUP BY source),
+w AS (SELECT *, ([{", ".join(f"{float(x)}::DOUBLE" for x in weights)}])[rank % {len(weights)} + 1] AS weight, {most}::DOUBLE * source_size AS stop FROM s),
+o AS (SELECT *, stop / weight AS turn, (SELECT sum(size) FROM d)::DOUBLE - coalesce(sum(stop) OVER before, 0) AS rest, sum(weight) OVER after AS share FROM w
+  WINDOW before AS (ORDER BY stop / weight, rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), after AS (ORDER BY stop / weight, rank ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)),
+l AS (SELECT coalesce(arg_min(rest / share, turn), 1e300) AS level FROM o WHERE turn > rest / share),
+t AS (SELECT source, source_size, least(stop, level * weight) AS target FROM o, l),
+r AS (SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate, floor(CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END) AS base FROM t),
+f(k, factor) AS (VALUES {factors}),
+x AS (SELECT r.source, k, factor, abs(sum(CASE WHEN (key * factor % {PRIME}) / {float(PRIME)}::DOUBLE < rate - base THEN size ELSE 0 END)::DOUBLE - any_value((rate - base) * source_size)) AS off
+  FROM d JOIN r ON d.source IS NOT DISTINCT FROM r.source CROSS JOIN f GROUP BY ALL),
+b AS (SELECT source, arg_min(factor, (off, k)) AS factor FROM x GROUP BY source),
+c AS (SELECT d.doc_id, d.size, r.source_size, r.target, r.rate, (base + CASE WHEN (key * factor % {PRIME}) / {float(PRIME)}::DOUBLE < rate - base THEN 1 ELSE 0 END)::INT AS copies
+  FROM d JOIN r ON d.source IS NOT DISTINCT FROM r.source JOIN b ON d.source IS NOT DISTINCT FROM b.source)
+SELECT doc_id, size, source_size, target, size * copies AS taken, rate, copies FROM c"""
