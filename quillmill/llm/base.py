@@ -44,11 +44,6 @@ def small_enough(df: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES) ->
     return df.count() * row_bytes <= limit
 
 
-def checked_broadcast(df: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """df with a broadcast hint if its counted rows fit the limit; as it is otherwise (a shuffled join follows)."""
-    return F.broadcast(df) if small_enough(df, row_bytes, limit) else df
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

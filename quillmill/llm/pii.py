@@ -235,7 +235,7 @@ def _example(rng: random.Random) -> tuple[str, list[tuple[int, int, str]]]:
 
     for _ in range(rng.randrange(1, 5)):
         filler(rng.randrange(3, 20))
-        kind = rng.choice([*LABELS, "none"])
+        kind, name = rng.choice([*LABELS, "none"]), ""
         if kind == "phone":
             x = number(10)
             proper, loose = f"+1 ({x[:3]}) {x[3:6]}-{x[6:]}", [f"({x[:3]}) {x[3:6]}-{x[6:]}", f"{x[:3]}-{x[3:6]}-{x[6:]}", f"{x[:3]}.{x[3:6]}.{x[6:]}", f"1{x}"]
@@ -259,8 +259,8 @@ def _example(rng: random.Random) -> tuple[str, list[tuple[int, int, str]]]:
         for form in forms:
             if told:
                 pieces.append((rng.choice(CUES[kind]), "none"))
-            elif form != proper and kind != "none" and proper not in forms and form == locals().get("name"):
-                continue
+            elif form == name and proper not in forms:
+                continue  # nothing tells that it is an address
             pieces.append((form, kind))
             filler(rng.randrange(2, 12))
     text, spans = "", []
