@@ -75,6 +75,28 @@ def test_large_groups_are_searched_exactly(families, monkeypatch):
     assert found(docs) == components(rows)
 
 
+def test_large_groups_stay_large_if_their_lead_is_in_two_blocks(spark):
+    words, scheme = [f"w{k}" for k in range(300)], jaccard.Scheme()
+    texts = [" ".join([*words[:k], "x", *words[k + 1 :]]) for k in range(0, 300, 10)]
+    sets = {x: next(jaccard.shingle_sets(*base.flat(pa.array([x])), 5)) for x in texts}
+    lead, *others = sorted(texts, key=lambda x: jaccard.node_of(sets[x]))
+    first, second = [lead, *others[:-4]], [lead, *others[-4:]]
+    holders = defaultdict(set)
+    for x in first:
+        for sig in scheme.signatures(sets[x]).tolist():
+            holders[sig].add(jaccard.node_of(sets[x]))
+    wanted = set()
+    for x in second:
+        for sig in scheme.signatures(sets[x]).tolist():
+            if len(holders[sig]) > jaccard.GROUP:
+                wanted.add((int(jaccard._label(np.array([sig], np.uint64) // np.uint64(64), sig % 64)[0]), jaccard.node_of(sets[x])))
+    blocks = [jaccard._signed(spark.createDataFrame([(k, x) for k, x in enumerate(b)], "doc_id long, text string").coalesce(1), "doc_id", "text", 5, scheme, 64) for b in (first, second)]
+    assert any(node != jaccard.node_of(sets[lead]) for _, node in wanted)
+    for a, b in (blocks, blocks[::-1]):
+        rows = jaccard._gathered(a.union(b), scheme, 1).filter(f"kind = {jaccard.HOLDER}").collect()
+        assert wanted <= {(r.a, r.b) for r in rows}
+
+
 def test_join_of_documents(documents, odd, odd_rows, clashing, empty):
     assert found(documents) == components([(r.doc_id, r.text) for r in documents.collect()])
     wanted = sorted(x for x in components([(r[0], r[1]) for r in odd_rows]))
