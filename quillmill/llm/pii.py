@@ -26,7 +26,8 @@ KINDS = ("email", "ip", "card", "phone")
 LABELS = ("none", *KINDS)
 #: A looser match becomes a span if its label has this probability or more.
 SURE = 0.9
-ROUNDS = 8
+#: Messages have settled if none changes by more, in nats; from round DAMPED on they move half way, so that they settle in loops too.
+SETTLED, DAMPED = 1e-4, 50
 #: Neighbours in the text are linked if so many characters or fewer lie between them.
 NEAR = 120
 
@@ -175,20 +176,35 @@ def node_features(text: str, node: tuple[int, int, str, str, str]) -> np.ndarray
     return out
 
 
-def edges(nodes: list[tuple[int, int, str, str, str]]) -> list[tuple[int, int, int]]:
-    """(i, j, kind): 0 for neighbours in the text, 1 for a node and the one before it with the same key.
+def edges(nodes: list[tuple[int, int, str, str, str]], features: np.ndarray) -> list[tuple[int, int, int]]:
+    """(i, j, kind): 0 for neighbours in the text; 1 for a key's hub and a node with that key, 2 if only the hub is heard.
 
-    Nodes with one key are linked in a row, not all with all, so there are fewer edges than twice the nodes.
+    A key's hub is its first base span, else its first node after a cue, else its first node, so evidence reaches all
+    mentions in two steps, and there are fewer edges than twice the nodes. The hub hears mentions that have evidence
+    of their own (base form, cue, or a neighbour with one), and one of the others: a hundred mentions that tell nothing
+    do not outvote the one that does.
     """
-    out, seen = [], {}
-    for j, (a, _, _, _, key) in enumerate(nodes):
-        if j and a - nodes[j - 1][1] <= NEAR:
-            out.append((j - 1, j, 0))
-        if key in seen:
-            out.append((seen[key], j, 1))
-        seen[key] = j
+    told = np.array([bool(x[2]) for x in nodes]) | features[:, 22:].any(1)
+    near = [(j - 1, j) for j in range(1, len(nodes)) if nodes[j][0] - nodes[j - 1][1] <= NEAR]
+    loud = told.copy()
+    for i, j in near:
+        if nodes[i][4] != nodes[j][4]:
+            loud[i] |= told[j]
+            loud[j] |= told[i]
+    out = [(i, j, 0) for i, j in near]
+    groups: dict[str, list[int]] = {}
+    mails: dict[str, list[int]] = {}
+    for j, (*_, key) in enumerate(nodes):
+        groups.setdefault(key, []).append(j)
         if key.startswith("m"):  # a mail address is similar to its own name
-            seen.setdefault("n" + key[1:].partition("@")[0], j)
+            mails.setdefault("n" + key[1:].partition("@")[0], []).append(j)
+    for key, members in groups.items():
+        hub = min([*members, *mails.get(key, [])], key=lambda j: (not nodes[j][2], not told[j], j))
+        heard = False
+        for j in members:
+            if j != hub:
+                out.append((hub, j, 1 if loud[j] or not heard else 2))
+                heard |= not loud[j]
     return out
 
 
@@ -199,20 +215,29 @@ class Field:
         self.unary, self.pair = unary, pair
 
     def labels(self, features: np.ndarray, links: np.ndarray) -> np.ndarray:
-        """Each node's label probabilities after ROUNDS of messages along links (i, j, kind)."""
+        """Each node's label probabilities when the messages along links (i, j, kind) have settled.
+
+        There are as many rounds as nodes at most: by then a message has crossed any path.
+        """
         own = features @ self.unary
         if len(links):
             i, j, kind = np.concatenate([links, links[:, [1, 0, 2]]]).T  # both ways
             back = np.concatenate([np.arange(len(links)) + len(links), np.arange(len(links))])
+            heard = (kind < 2) | (np.arange(len(i)) < len(links))
+            pair = self.pair[np.minimum(kind, 1)]
             message = np.zeros((len(i), len(LABELS)))
-            belief = own
-            for _ in range(ROUNDS):
+            for step in range(max(DAMPED, len(own))):
                 belief = own.copy()
                 np.add.at(belief, j, message)
-                out = (belief[i] - message[back])[:, :, None] + self.pair[kind]
+                out = (belief[i] - message[back])[:, :, None] + pair
                 top = out.max(1)
-                message = top + np.log(np.exp(out - top[:, None]).sum(1))
-                message -= message.max(1, keepdims=True)
+                new = top + np.log(np.exp(out - top[:, None]).sum(1))
+                new -= new.max(1, keepdims=True)
+                new[~heard] = 0
+                change = np.abs(new - message).max()
+                message = new if step < DAMPED else (new + message) / 2
+                if change <= SETTLED:
+                    break
             own = own.copy()
             np.add.at(own, j, message)
         p = np.exp(own - own.max(1, keepdims=True))
@@ -280,7 +305,7 @@ def examples(n: int, seed: int) -> Iterator[tuple[str, list, list[tuple[int, int
         nodes = candidates(text, base_spans(text))
         if nodes:
             truth = [next((LABELS.index(k) for a, b, k in spans if a < node[1] and node[0] < b), 0) for node in nodes]
-            yield text, nodes, edges(nodes), np.array(truth)
+            yield text, nodes, edges(nodes, np.array([node_features(text, x) for x in nodes])), np.array(truth)
 
 
 @functools.cache
@@ -290,8 +315,9 @@ def train(n: int = 1500, seed: int = 7, steps: int = 300) -> Field:
     for text, nodes, links, labels in examples(n, seed):
         beside = np.zeros((len(nodes), 2, len(LABELS)))
         for i, j, kind in links:
-            beside[i, kind, labels[j]] += 1
-            beside[j, kind, labels[i]] += 1
+            beside[j, min(kind, 1), labels[i]] += 1
+            if kind < 2:
+                beside[i, kind, labels[j]] += 1
         rows += [node_features(text, x) for x in nodes]
         around.append(beside)
         truth.append(labels)
@@ -322,8 +348,9 @@ def find(texts: list[str], field: Field) -> list[tuple[list[Span], list[Span]]]:
         out.append((base, list(base)))
         nodes = candidates(text, base)
         if len(nodes) > sum(1 for x in nodes if x[2]):  # there is something to decide
-            rows += [node_features(text, x) for x in nodes]
-            links += [(i + first, j + first, kind) for i, j, kind in edges(nodes)]
+            own = [node_features(text, x) for x in nodes]
+            rows += own
+            links += [(i + first, j + first, kind) for i, j, kind in edges(nodes, np.array(own))]
             owners += [(k, x) for x in nodes]
             first += len(nodes)
     if rows:

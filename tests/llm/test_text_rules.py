@@ -140,6 +140,15 @@ def test_skip_edges_carry_labels():
     assert [(k, text[a:b]) for k, a, b in all_] == [("phone", "+1 (555) 123-4567"), ("phone", "555.123.4567")]
 
 
+@pytest.mark.parametrize(("proper", "loose", "kind"), [("4111111111111111", "4111/1111/1111/1111", "card"), ("+1 (555) 123-4567", "555.123.4567", "phone"), ("jane.doe7@site.org", "jane.doe7", "email")])
+def test_evidence_reaches_dozens_of_distant_mentions(proper, loose, kind):
+    far = " it is. " + "some words here stone river. " * 8
+    for before, after in ((0, 60), (60, 0), (25, 35)):
+        text = (loose + far) * before + proper + far + (loose + far) * after
+        _, all_ = pii.find([text], pii.train())[0]
+        assert sorted(a for k, a, _ in all_ if k == kind) == sorted([len(loose + far) * k for k in range(before)] + [len(loose + far) * before] + [len((loose + far) * before + proper + far) + len(loose + far) * k for k in range(after)])
+
+
 def test_personal_data(documents, odd, odd_rows, clashing, empty):
     for docs, texts in ((documents, [(r.doc_id, r.text) for r in documents.collect()]), (odd, [(r[0], r[1]) for r in odd_rows])):
         wanted = sorted(as_key((i, *(sum(s[0] == k for s in base(x or "")) for k in PATTERNS), hashlib.sha256(pii.joined(base(x or "")).encode()).hexdigest())) for i, x in texts)
