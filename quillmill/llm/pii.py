@@ -44,6 +44,9 @@ _DIGIT = re.compile("[0-9]")
 _GROUPS = re.compile(r"(?<![A-Za-z0-9])\+?\(?[0-9](?:[\x20().,/-]{0,2}[0-9]){6,}(?![A-Za-z0-9])")
 _SPELT = re.compile(r"[A-Za-z0-9._%+-]{1,64}\s?(?:\(at\)|\[at\]|\bat\b|@)\s?[A-Za-z0-9-]{1,63}(?:\s?(?:\(dot\)|\[dot\]|\bdot\b|\.)\s?[A-Za-z0-9-]{1,63}){1,6}", re.IGNORECASE)
 _QUAD = re.compile(r"(?<![0-9])[0-9]{1,3}(?:\s?(?:\[\.\]|\(\.\)|\[dot\]|\(dot\))\s?[0-9]{1,3}){3}(?![0-9])", re.IGNORECASE)
+#: Digits of a looser match of one number, and shapes of numbers in rows of digit groups; shapes of 13 digits or more are cards.
+LEAST, MOST = 7, 19
+SHAPES = ((4, 4, 4, 4), (4, 6, 5), (1, 3, 3, 4), (3, 3, 4), (2, 2, 2, 2, 2))
 #: Words before a candidate that tell what it is.
 CUES = {
     "phone": ("phone", "tel", "call", "fax", "mobile", "cell", "whatsapp", "sms"),
@@ -134,7 +137,7 @@ def candidates(text: str, base: list[Span]) -> list[tuple[int, int, str, str, st
     low = text.lower()
     loose: list[tuple[int, int, str]] = []
     if _DIGIT.search(text):
-        loose += [(*m.span(), "groups") for m in _GROUPS.finditer(text) if m.end() - m.start() <= 60]
+        loose += [(m.start() + a, m.start() + b, "groups") for m in _GROUPS.finditer(text) for a, b in _numbers(m[0])]
         if "[.]" in text or "(.)" in text or "dot" in low:
             loose += [(*m.span(), "quad") for m in _QUAD.finditer(text)]
     if "(at)" in low or "[at]" in low or ("dot" in low and " at " in low):
@@ -152,6 +155,79 @@ def candidates(text: str, base: list[Span]) -> list[tuple[int, int, str, str, st
     return sorted(out)
 
 
+def _count(x: str) -> int:
+    return len(_digits(x))
+
+
+def _numbers(x: str) -> Iterator[tuple[int, int]]:
+    """The places of single numbers in a match of _GROUPS.
+
+    A match is one number if it has MOST digits or fewer, unless commas cut it into whole numbers and it is no card. Longer
+    ones are cut at commas with a space, then at all commas and slashes between whole numbers, then at spaces beside whole
+    numbers or before + and (, and what is left in cards and numbers of the usual shapes. Parts under LEAST digits are
+    no candidates, as for _GROUPS; others are given whole, however long.
+    """
+    digits = _digits(x)
+    listed = [m.span() for m in re.finditer(r"(?:[^,]|,(?![\x20]))+", x)]
+    if len(digits) <= MOST:
+        whole = len(listed) < 2 or (len(digits) >= 13 and luhn(digits)) or any(_count(x[a:b]) < LEAST for a, b in listed)
+        yield from [(0, len(x))] if whole else (_trimmed(x, a, b) for a, b in listed)
+        return
+    for a, b in listed:
+        parts = [(a, b)]
+        for sign in ",/":
+            parts = [q for p in parts for q in _cut(x, *p, sign)]
+        for c, d in parts:
+            for e, f in [(c, d)] if _count(x[c:d]) <= MOST else _worded(x, c, d):
+                if _count(x[e:f]) >= LEAST:
+                    yield _trimmed(x, e, f)
+
+
+def _trimmed(x: str, a: int, b: int) -> tuple[int, int]:
+    """The span without signs at its ends that belong to no number."""
+    while x[a] not in "+(0123456789":
+        a += 1
+    while x[b - 1] not in "0123456789":
+        b -= 1
+    return a, b
+
+
+def _cut(x: str, a: int, b: int, sign: str) -> list[tuple[int, int]]:
+    """The span cut at a sign, if it is too long for one number and whole numbers stand between the signs."""
+    if _count(x[a:b]) <= MOST or sign not in x[a:b]:
+        return [(a, b)]
+    parts = [(m.start() + a, m.end() + a) for m in re.finditer(f"[^{sign}]+", x[a:b])]
+    return parts if all(_count(x[c:d]) >= LEAST or not _count(x[c:d]) for c, d in parts) else [(a, b)]
+
+
+def _worded(x: str, a: int, b: int) -> Iterator[tuple[int, int]]:
+    """The span cut at spaces: a number ends beside a whole one and before + or (; rows of short groups give usual shapes."""
+    words = [(m.start() + a, m.end() + a, _count(m[0])) for m in re.finditer(r"[^\x20]+", x[a:b])]
+    words = [w for w in words if w[2]]
+    runs: list[list[tuple[int, int, int]]] = []
+    many = 0
+    for w in words:
+        if runs and not (many >= LEAST and (x[w[0]] in "+(" or w[2] >= LEAST or runs[-1][-1][2] >= LEAST)):
+            runs[-1].append(w)
+            many += w[2]
+        else:
+            runs.append([w])
+            many = w[2]
+    for run in runs:
+        if sum(w[2] for w in run) <= MOST:
+            yield run[0][0], run[-1][1]
+            continue
+        k = 0
+        while k < len(run):
+            n = 1
+            for shape in SHAPES:
+                if tuple(w[2] for w in run[k : k + len(shape)]) == shape and (sum(shape) < 13 or luhn(_digits(x[run[k][0] : run[k + len(shape) - 1][1]]))):
+                    n = len(shape)
+                    break
+            yield run[k][0], run[k + n - 1][1]
+            k += n
+
+
 FEATURES = 32
 
 

@@ -149,6 +149,29 @@ def test_evidence_reaches_dozens_of_distant_mentions(proper, loose, kind):
         assert sorted(a for k, a, _ in all_ if k == kind) == sorted([len(loose + far) * k for k in range(before)] + [len(loose + far) * before] + [len((loose + far) * before + proper + far) + len(loose + far) * k for k in range(after)])
 
 
+@pytest.mark.parametrize("separator", [", ", ",", " ", " / ", "/"])
+@pytest.mark.parametrize("form", ["{}-{}-{}", "({}) {}-{}", "{}.{}.{}", "{} {} {}"])
+def test_lists_of_numbers_are_single_candidates(form, separator):
+    numbers = [form.format(555, 100 + 111 * k, 4567 + k) for k in range(9)]
+    for n in (2, 5, 9):
+        text = "call " + separator.join(numbers[:n]) + " today"
+        assert [text[a:b] for a, b, *_ in pii.candidates(text, pii.base_spans(text))] == numbers[:n]
+    _, all_ = pii.find([text], pii.train())[0]
+    assert [text[a:b] for kind, a, b in sorted(all_, key=lambda s: s[1]) if kind == "phone"] == numbers
+
+
+def test_other_long_matches_are_cut_or_given_whole():
+    def got(text):
+        return [text[a:b] for a, b, *_ in pii.candidates(text, pii.base_spans(text))]
+
+    assert got("pay 4111 1111, 1111 1111 now") == ["4111 1111, 1111 1111"]
+    assert got("x " + "7" * 70 + " y") == ["7" * 70]
+    assert "555-123-4567" in got("rows 12 345 6 78 9 555-123-4567 1 22 333 44 5")
+    cards = ["4111 1111 1111 1111", "5500 0000 0000 0004"]
+    assert got(" ".join(cards)) == cards
+    assert got("+1 555-123-4567 555-987-6543, 5551234567") == ["+1 555-123-4567", "555-987-6543", "5551234567"]
+
+
 def test_personal_data(documents, odd, odd_rows, clashing, empty):
     for docs, texts in ((documents, [(r.doc_id, r.text) for r in documents.collect()]), (odd, [(r[0], r[1]) for r in odd_rows])):
         wanted = sorted(as_key((i, *(sum(s[0] == k for s in base(x or "")) for k in PATTERNS), hashlib.sha256(pii.joined(base(x or "")).encode()).hexdigest())) for i, x in texts)
