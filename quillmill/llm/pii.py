@@ -9,6 +9,7 @@ that a pattern misses is found where another mention of it, or its surroundings,
 
 from __future__ import annotations
 
+import bisect
 import functools
 import hashlib
 import random
@@ -42,6 +43,9 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile("[0-9]")
 
 _GROUPS = re.compile(r"(?<![A-Za-z0-9])\+?\(?[0-9](?:[\x20().,/-]{0,2}[0-9]){6,}(?![A-Za-z0-9])")
+_RUN = re.compile("[A-Za-z0-9._%+-]+")
+_TOUCHES = re.compile(r"[\w@]")
+_LOOSE_START, _LOOSE_END = re.compile("[%+]"), re.compile("[.%+]")
 _SPELT = re.compile(r"[A-Za-z0-9._%+-]{1,64}\s?(?:\(at\)|\[at\]|\bat\b|@)\s?[A-Za-z0-9-]{1,63}(?:\s?(?:\(dot\)|\[dot\]|\bdot\b|\.)\s?[A-Za-z0-9-]{1,63}){1,6}", re.IGNORECASE)
 _QUAD = re.compile(r"(?<![0-9])[0-9]{1,3}(?:\s?(?:\[\.\]|\(\.\)|\[dot\]|\(dot\))\s?[0-9]{1,3}){3}(?![0-9])", re.IGNORECASE)
 #: Digits of a looser match of one number, and shapes of numbers in rows of digit groups; shapes of 13 digits or more are cards.
@@ -122,6 +126,35 @@ def _key(kind: str, text: str) -> str:
     return "d" + (digits[-8:] if kind == "groups" else ".".join(re.findall("[0-9]+", text)))
 
 
+def _mentions(text: str, names: set[str]) -> Iterator[tuple[int, int]]:
+    """Places of the names, the longest from each place, that no letters, digits, - or @ touch, nor a dot before them.
+
+    Runs of a name's signs are looked up in the set, whatever its size: from each place where a name may start, up to
+    each place where one may end that is as far as some name is long.
+    """
+    lengths = {len(x) for x in names}
+    most = max(lengths)
+    for run in _RUN.finditer(text):
+        first, end = run.span()
+        if end - first < min(lengths):
+            continue
+        after = end < len(text) and _TOUCHES.match(text[end])
+        starts = [] if first and _TOUCHES.match(text[first - 1]) else [first]
+        starts += [m.end() for m in _LOOSE_START.finditer(text, first, end)]
+        ends = [m.start() for m in _LOOSE_END.finditer(text, first, end)] + ([] if after else [end])
+        at = first
+        for a in starts:
+            if a < at:
+                continue
+            k = bisect.bisect_right(ends, a + most)
+            while k and ends[k - 1] > a:
+                k -= 1
+                if ends[k] - a in lengths and text[a : ends[k]].lower() in names:
+                    yield a, ends[k]
+                    at = ends[k]
+                    break
+
+
 def candidates(text: str, base: list[Span]) -> list[tuple[int, int, str, str, str]]:
     """(start, end, base kind or "", form, key) in the order of the text; looser matches don't overlap base spans."""
     out = [(a, b, kind, form := {"email": "spelt", "ip": "quad"}.get(kind, "groups"), _key(form, text[a:b])) for kind, a, b in base]
@@ -144,9 +177,8 @@ def candidates(text: str, base: list[Span]) -> list[tuple[int, int, str, str, st
         loose += [(*m.span(), "spelt") for m in _SPELT.finditer(text) if "@" not in m[0] and re.search(r"\bdot\b|[(\[]at[)\]]", m[0], re.IGNORECASE)]
     names = {text[a:b].partition("@")[0].lower() for kind, a, b in base if kind == "email"}
     names = {x for x in names if len(x) >= 6 and re.search("[0-9._-]", x)}
-    if 0 < len(names) <= 1000:
-        known = re.compile(r"(?<![\w.@-])(?:" + "|".join(map(re.escape, sorted(names, key=lambda x: (-len(x), x)))) + r")(?![\w@-])", re.IGNORECASE)
-        loose += [(*m.span(), "name") for m in known.finditer(text)]
+    if names:
+        loose += [(a, b, "name") for a, b in _mentions(text, names)]
     last = -1
     for a, b, form in sorted(loose):
         if a >= last and free(a, b):

@@ -172,6 +172,22 @@ def test_other_long_matches_are_cut_or_given_whole():
     assert got("+1 555-123-4567 555-987-6543, 5551234567") == ["+1 555-123-4567", "555-987-6543", "5551234567"]
 
 
+def test_names_are_found_however_many_there_are():
+    for n in (999, 1000, 1001, 2500):
+        text = " ".join(f"user.{k}@site.org" for k in range(n)) + " then USER.7 and user.998, not xuser.5 or user.5-x"
+        names = [text[a:b] for a, b, kind, form, _ in pii.candidates(text, pii.base_spans(text)) if form == "name"]
+        assert names == ["USER.7", "user.998"]
+
+
+def test_names_are_found_as_by_one_pattern():
+    rng = random.Random(8)
+    for _ in range(5000):
+        names = {"".join(rng.choice("ab.-%+_1") for _ in range(rng.randrange(1, 4))) for _ in range(4)}
+        text = "".join(rng.choice(["a", "b", "A", ".", "-", "%", "+", "_", "1", " ", "@", "é", *names]) for _ in range(20))
+        known = re.compile(r"(?<![\w.@-])(?:" + "|".join(map(re.escape, sorted(names, key=lambda x: (-len(x), x)))) + r")(?![\w@-])", re.IGNORECASE)
+        assert list(pii._mentions(text, names)) == [m.span() for m in known.finditer(text)], (text, names)
+
+
 def test_personal_data(documents, odd, odd_rows, clashing, empty):
     for docs, texts in ((documents, [(r.doc_id, r.text) for r in documents.collect()]), (odd, [(r[0], r[1]) for r in odd_rows])):
         wanted = sorted(as_key((i, *(sum(s[0] == k for s in base(x or "")) for k in PATTERNS), hashlib.sha256(pii.joined(base(x or "")).encode()).hexdigest())) for i, x in texts)
