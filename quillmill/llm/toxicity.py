@@ -7,6 +7,7 @@ join the text's words. A logistic model over words and word beginnings scores th
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,6 +29,8 @@ CUT = 0.3
 LOOKS = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "€": "e", "*": "aeiou"}
 #: Costs, in nats, of a look-alike, of a letter for *, of dropping a sign, of dropping a separator, of taking a repeated letter once or twice.
 LOOK, STAR, DROP, SEPARATOR, ONCE, TWICE = 1.0, 2.5, 6.0, 0.2, 0.5, 0.7
+#: Costs of a space in a spaced-out token, each of which gives a reading.
+GAPS = (-2.0, 0.0, 2.0)
 CLASSES = 32
 _SLICE = 1 << 20
 _CLASS = np.zeros(256, np.int64)
@@ -39,6 +42,7 @@ _LETTER[97:123] = _LETTER[65:91] = _LETTER[128:] = True
 _SIGN = np.zeros(256, bool)
 _SIGN[[ord(c) for c in LOOKS if ord(c) < 128]] = True
 _SIGN[[ord(c) for c in "._-"]] = True
+_REPEATED, _GAP, _SPACED = re.compile(r"(.)\1{3,}", re.DOTALL), re.compile(r"\s+"), re.compile(r"(\S)(?: \1){3,}")
 _BLANK = np.arange(256, dtype=np.uint8)
 _BLANK[~_LETTER] = 32
 
@@ -78,10 +82,11 @@ def _class_of(c: str) -> int:
     return int(_CLASS[c.encode()[-1]])
 
 
-def decode(token: str, costs: np.ndarray) -> str:
+def decode(token: str, costs: np.ndarray, gap: float = 0.0) -> str:
     """The likeliest reading of a lower-case token: the cheapest path through its lattice.
 
-    States are the classes of the last two characters; each run of one character is a step.
+    States are the classes of the last two characters; each run of one character is a step. A space in the token stands
+    for a space, which costs `gap`, or for nothing, a wider gap for a space.
     """
     steps, at = [], 0
     while at < len(token):
@@ -89,7 +94,9 @@ def decode(token: str, costs: np.ndarray) -> str:
         while end < len(token) and token[end] == c:
             end += 1
         n, at = end - at, end
-        if c in LOOKS:
+        if c == " ":
+            step = [(" ", gap), ("", 0.0)] if n == 1 else [(" ", 0.0)]
+        elif c in LOOKS:
             price = STAR if c == "*" else LOOK
             step = [(x, price) for x in LOOKS[c]] + [("", DROP)]
             step += [(x * 2, price + TWICE) for x in LOOKS[c]] if n > 1 else []
@@ -97,21 +104,42 @@ def decode(token: str, costs: np.ndarray) -> str:
             step = [(c, 0.0)] if n == 1 else [(c * 2, TWICE if n > 2 else 0.0), (c, ONCE)]
         else:
             step = [("", SEPARATOR if not c.isalnum() else DROP)]
-        steps.append(step)
-    states = {(0, 0): (0.0, "")}
-    for step in [*steps, None]:
-        new: dict[tuple[int, int], tuple[float, str]] = {}
-        for (a, b), (spent, out) in states.items():
-            for word, price in step or [(" ", 0.0)]:
+        steps.append([(word, [_class_of(x) for x in word], price) for word, price in step])
+    states: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
+    for step in [*steps, [(" ", [0], 0.0)]]:
+        new: dict[tuple[int, int], tuple[float, tuple | None]] = {}
+        for (a, b), (spent, path) in states.items():
+            for word, classes, price in step:
                 x, y, total = a, b, spent + price
-                for c in word:
-                    z = _class_of(c)
+                for z in classes:
                     total += costs[x, y, z]
                     x, y = y, z
                 if (x, y) not in new or total < new[x, y][0]:
-                    new[x, y] = total, out + word
+                    new[x, y] = total, (path, word)
         states = new
-    return min(states.values())[1].strip()
+    path, words = min(states.values(), key=lambda s: s[0])[1], []
+    while path:
+        path, word = path
+        words.append(word)
+    return "".join(reversed(words)).strip()
+
+
+def readings(token: str, costs: np.ndarray) -> list[str]:
+    """The readings of a lower-case token: of one that is spaced out as one word, as words, and as what starts at each letter.
+
+    More than three of a character are read as three. In a spaced-out token, gaps wider than its narrowest part words;
+    the others may. Trigrams part words unsurely ("y oui diot"), so a word may begin at any of its letters: the
+    beginnings that the model knows are found wherever they stand.
+    """
+    found = [decode(_REPEATED.sub(r"\1\1\1", "".join(token.split())), costs)]
+    gaps = _GAP.findall(token)
+    if gaps:
+        least = min(map(len, gaps))
+        words = _GAP.sub(lambda m: " " if len(m[0]) == least else "  ", token)
+        words = _SPACED.sub(r"\1 \1 \1", words)
+        found += [decode(words, costs, gap) for gap in GAPS]
+        found += [found[0][k : k + BEGINNINGS[-1] + 1] for k in range(1, len(found[0]) - BEGINNINGS[0] + 1)]
+    return found
 
 
 def suspects(data: np.ndarray, words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -142,7 +170,7 @@ def suspects(data: np.ndarray, words: Words) -> tuple[np.ndarray, np.ndarray, np
     return starts, np.append(words.ends[hit], words.ends[b]), np.append(np.zeros(hit.sum(), bool), np.ones(len(a), bool))
 
 
-def restored(data: np.ndarray, offsets: np.ndarray, costs: np.ndarray, known: dict[str, str]) -> tuple[np.ndarray, np.ndarray]:
+def restored(data: np.ndarray, offsets: np.ndarray, costs: np.ndarray, known: dict[str, list[str]]) -> tuple[np.ndarray, np.ndarray]:
     """The texts with the readings of their disguised words at their ends. known keeps readings from call to call."""
     words = Words(data, offsets)
     starts, ends, _ = suspects(data, words)
@@ -152,15 +180,15 @@ def restored(data: np.ndarray, offsets: np.ndarray, costs: np.ndarray, known: di
     owner = np.searchsorted(offsets, starts, "right") - 1
     more: dict[int, set[str]] = {}
     for i, a, b in zip(owner.tolist(), starts.tolist(), ends.tolist(), strict=True):
-        if b - a > 200:  # no word is as long; its beginnings count as they stand
-            continue
         token = raw[a:b].decode("utf-8", "replace").lower().strip(".,;:?\"'()[]{}#%&*_-")
-        reading = known.get(token)
-        if reading is None:
-            reading = known[token] = decode("".join(token.split()), costs)
+        found = known.get(token)
+        if found is None:
+            found = readings(token, costs)
+            if len(token) <= 200:  # longer ones are hardly met again
+                known[token] = found
             if len(known) > 200_000:
                 known.clear()
-        more.setdefault(i, set()).add(reading)
+        more.setdefault(i, set()).update(found)
     pieces, sizes = [], []
     for i, (a, b) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)):
         piece = raw[a:b] + (b" " + " ".join(sorted(more[i])).encode() if i in more else b"")
@@ -172,7 +200,7 @@ def restored(data: np.ndarray, offsets: np.ndarray, costs: np.ndarray, known: di
 # ---------------------------------------------------------------- features and the logistic model
 
 
-def features(texts: pa.Array, costs: np.ndarray, known: dict[str, str]) -> tuple[np.ndarray, np.ndarray]:
+def features(texts: pa.Array, costs: np.ndarray, known: dict[str, list[str]]) -> tuple[np.ndarray, np.ndarray]:
     """The restored texts' features: owners and 64-bit hashes of whole words and of their beginnings, with repeats."""
     lowered = pc.utf8_lower(pc.fill_null(texts, ""))
     data, offsets = restored(*flat(lowered), costs, known)
@@ -196,7 +224,7 @@ class Model:
 
     def __init__(self, hashes: np.ndarray, weights: np.ndarray, bias: float, costs: np.ndarray):
         self.hashes, self.weights, self.bias, self.costs = hashes, weights, bias, costs
-        self.known: dict[str, str] = {}
+        self.known: dict[str, list[str]] = {}
 
     def found(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Owners and numbers of the model's features in the texts, each pair once."""
@@ -240,7 +268,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, doc_id: str =
     some = some.repartition(16, "key")
 
     def present(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, str] = {}
+        known: dict[str, list[str]] = {}
         for batch in batches:
             for part in slices(batch, 0, _SLICE):
                 owner, hashes = features(part.column(0), costs, known)

@@ -207,6 +207,21 @@ def test_decoding(documents):
         assert toxicity.decode(token, costs) == word
 
 
+def reading(x, costs):
+    data = np.frombuffer(x.encode(), np.uint8)
+    out, _ = toxicity.restored(data, np.array([0, len(data)]), costs, {})
+    return out.tobytes().decode()[len(x) :].split()
+
+
+def test_long_disguises_are_decoded(documents):
+    costs = toxicity.trigram_costs(toxicity.trigram_counts(documents))
+    assert reading("st" + "u" * 400 + "pid", costs) == ["stupid"]
+    long = " ".join("what a day it was when they all went to the river and then home again " * 3 + "you stupid idiot").replace("   ", " ")
+    for x in (long, "y o u i d i o t", "y o u  i d i o t"):
+        assert any(w.startswith("idio") for w in reading(x, costs)), x
+    assert any(w.startswith("stup") for w in reading(long, costs))
+
+
 def test_logistic_separates():
     owner, feature = np.array([0, 1, 1, 2, 3]), np.array([0, 0, 1, 1, 1])
     weights, bias = toxicity.logistic(owner, feature, np.array([1.0, 1.0, 0.0, 0.0, 0.0]), 2)
