@@ -42,6 +42,14 @@ _LETTER[97:123] = _LETTER[65:91] = _LETTER[128:] = True
 _SIGN = np.zeros(256, bool)
 _SIGN[[ord(c) for c in LOOKS if ord(c) < 128]] = True
 _SIGN[[ord(c) for c in "._-"]] = True
+_LOOK = _SIGN.copy()
+_LOOK[[ord(c) for c in "._-"]] = False
+_FIGURE = np.zeros(256, bool)
+_FIGURE[48:58] = True
+#: Signs around words, which are no part of them.
+_AROUND = ".,;:?\"'()[]{}#%&*_-"
+_EDGE = np.zeros(256, bool)
+_EDGE[[ord(c) for c in _AROUND]] = True
 _REPEATED, _GAP, _SPACED = re.compile(r"(.)\1{3,}", re.DOTALL), re.compile(r"\s+"), re.compile(r"(\S)(?: \1){3,}")
 _BLANK = np.arange(256, dtype=np.uint8)
 _BLANK[~_LETTER] = 32
@@ -150,14 +158,24 @@ def suspects(data: np.ndarray, words: Words) -> tuple[np.ndarray, np.ndarray, np
     if n > 2:
         flags[1:-1] |= letter[:-2] & sign[1:-1] & (letter[2:] | sign[2:])
         flags[1:-1] |= letter[1:-1] & (data[1:-1] == data[:-2]) & (data[1:-1] == data[2:])
-    total = np.append(0, np.cumsum(flags))
+        # a look-alike that ends a word, up to the signs around it
+        flags[1:] |= _LOOK[data[1:]] & ~_EDGE[data[1:]] & (letter[:-1] | sign[:-1])
     first = words.starts
-    hit = total[words.ends] > total[first]
+    flags[first] = False  # what stands before it is another word's or text's
+
+    def count(x: np.ndarray) -> np.ndarray:
+        total = np.append(0, np.cumsum(x))
+        return total[words.ends] - total[first]
+
+    hit = count(flags) > 0
     # a sign that starts a word before a letter
     two = words.ends - first > 2
     hit[two] |= sign[first[two]] & letter[first[two] + 1]
-    letters = np.append(0, np.cumsum(letter))
-    hit &= letters[words.ends] - letters[first] >= 2
+    # two letters, or a word of three letters and look-alikes and nothing else that is no figure: 455 stays one
+    look = _LOOK[data] & ~_EDGE[data]
+    letters, looks = count(letter), count(look)
+    told = letters + looks - count(look & _FIGURE[data])
+    hit &= (letters >= 2) | ((told >= 1) & (letters + looks >= 3) & (count(letter | look | _EDGE[data]) == words.ends - first))
     # runs of three or more words of one character, of which most are letters
     width = np.append(0, np.cumsum((data & 0xC0) != 0x80))
     single = (width[words.ends] - width[first] == 1) & (letter[first] | sign[first])
@@ -180,7 +198,7 @@ def restored(data: np.ndarray, offsets: np.ndarray, costs: np.ndarray, known: di
     owner = np.searchsorted(offsets, starts, "right") - 1
     more: dict[int, set[str]] = {}
     for i, a, b in zip(owner.tolist(), starts.tolist(), ends.tolist(), strict=True):
-        token = raw[a:b].decode("utf-8", "replace").lower().strip(".,;:?\"'()[]{}#%&*_-")
+        token = raw[a:b].decode("utf-8", "replace").lower().strip(_AROUND)
         found = known.get(token)
         if found is None:
             found = readings(token, costs)

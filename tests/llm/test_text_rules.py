@@ -222,6 +222,16 @@ def test_long_disguises_are_decoded(documents):
     assert any(w.startswith("stup") for w in reading(long, costs))
 
 
+def test_look_alikes_at_the_end_and_few_letters_are_decoded(documents):
+    costs = toxicity.trigram_costs(toxicity.trigram_counts(documents))
+    for x in ("shi7", "cun7", "as$", "5h17", "4$$", "tra5h", "idio7,", "(5h17)", "m0r0n5."):
+        for text in (x, f"the {x} there", f"the\t{x}\n"):
+            assert len(reading(text, costs)) == 1, text
+    assert reading("the shi7 there", costs) == ["shit"]
+    for x in ("455", "1,000", "10-20", "(50)", "3.14", "50%", "a", "the end.", "x7"):
+        assert reading(f"of {x} and", costs) == [], x
+
+
 def test_logistic_separates():
     owner, feature = np.array([0, 1, 1, 2, 3]), np.array([0, 0, 1, 1, 1])
     weights, bias = toxicity.logistic(owner, feature, np.array([1.0, 1.0, 0.0, 0.0, 0.0]), 2)
