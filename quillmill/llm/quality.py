@@ -15,12 +15,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from quillmill.llm.base import Words, flat, mix, per_text, prefix_sums, slices, span_hashes, windows
+from quillmill.llm.base import Words, flat, mix, per_text, prefix_sums, slices, small_enough, span_hashes, windows
 
 #: Hash buckets of the multinomials.
 BUCKETS = 1 << 16
-#: Labelled documents that the trusted multinomial is counted over: those with the smallest hashes of their ids.
-TRUSTED = 20_000
 #: Texts whose mean log ratio is lower are rejected.
 THRESHOLD = -0.7
 #: Counts added to each bucket, as if so many 4-grams had been seen, spread as in the raw corpus.
@@ -121,11 +119,10 @@ def log_ratios(trusted: np.ndarray, raw: np.ndarray) -> np.ndarray:
     return (np.log((trusted + weight * prior) / (trusted.sum() + weight)) - np.log(prior)).astype(np.float32)
 
 
-def trusted_texts(docs: DataFrame, labels: DataFrame, limit: int = TRUSTED, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Texts of documents labelled quality 1: of `limit` labelled ids at most, by the order of a hash."""
+def trusted_texts(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """Texts of all documents labelled quality 1; the ids are broadcast if they are few enough, and shuffled if not."""
     good = labels.filter("quality = 1 and doc_id is not null").select(F.col("doc_id").cast("long").alias("_id")).distinct()
-    good = good.orderBy(F.xxhash64("_id"), "_id").limit(limit)  # bounded, so it may be broadcast
-    return docs.join(F.broadcast(good), F.col(doc_id) == F.col("_id"), "left_semi").select(text)
+    return docs.select(doc_id, text).join(F.broadcast(good) if small_enough(good, 16) else good, F.col(doc_id) == F.col("_id"), "left_semi").select(text)
 
 
 def _scored(docs: DataFrame, carried: list[str], ratios: np.ndarray, threshold: float, text: str) -> DataFrame:

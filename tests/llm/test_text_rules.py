@@ -62,6 +62,17 @@ def test_scores_by_counting(documents, labels):
         assert r.score == pytest.approx(np.mean(values, dtype=float) if values else 0.0, abs=1e-6)
 
 
+def test_all_trusted_texts_are_counted(spark, monkeypatch):
+    n = 20_500
+    docs = spark.range(n).selectExpr("id AS doc_id", "concat('text ', id) AS text")
+    labels = spark.range(n).selectExpr("id AS doc_id", "1 AS quality")
+    assert quality.trusted_texts(docs, labels).count() == n
+    whole = quality.gram_counts(docs)
+    assert (quality.gram_counts(quality.trusted_texts(docs, labels)) == whole).all()
+    monkeypatch.setattr(quality, "small_enough", lambda *_: False)
+    assert (quality.gram_counts(quality.trusted_texts(docs, labels.union(labels))) == whole).all()
+
+
 def test_junk_is_rejected_and_clean_text_kept(spark, sf_dir):
     at = sf_dir.replace("0.001", "0.01")
     labels = spark.read.parquet(f"{at}/labels.parquet")
