@@ -70,7 +70,7 @@ def test_join_finds_every_link(families):
 
 def test_large_groups_are_searched_exactly(families, monkeypatch):
     rows, docs = families
-    for name, value in (("GROUP", 2), ("BLOCK", 7), ("PARTNERS", 0), ("ROUNDS", 1)):
+    for name, value in (("GROUP", 2), ("BLOCK", 7), ("CELL", 3), ("BLOCK_BYTES", 4000)):
         monkeypatch.setattr(jaccard, name, value)
     assert found(docs) == components(rows)
 
