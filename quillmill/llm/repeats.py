@@ -24,15 +24,20 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillmill.llm.base import bounded_batches, checkpoint, flat, prefix_sums, shuffle_partitions, slices, span_hashes
+from quillmill.llm.base import bounded_batches, checkpoint, flat, mix, prefix_sums, shuffle_partitions, slices, span_hashes
 
 LEAST, GRAM = 50, 24
 #: Runs of one string in one block, or in all, beyond which its windows are dealt out one by one.
 HOT_BLOCK, HOT = 64, 4000
-_SLICE, _FLUSH = 2 << 20, 2_000_000
+#: Windows of such strings in a block, of which equal ones are settled before they are sent.
+HOT_ROWS = 100_000
+_SLICE, _FLUSH = 1 << 19, 500_000
+#: Rows whose suffixes make one part, if its keys can be told apart.
+PART = 10_000
 #: What is known of a run or span: a repeat of an earlier document, open, or open and dealt out by window; PACKED rows carry runs to their bucket.
 COVERED, OPEN, HOT_OPEN, PACKED = range(4)
-_SHIFT = 40
+#: Bits of a span's number of windows; the rest is its place.
+_BITS = 16
 
 
 def runs(data: np.ndarray, offsets: np.ndarray, least: int = LEAST, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -104,7 +109,7 @@ def repeated_windows(texts: list[bytes], counts: np.ndarray, left: np.ndarray, o
     which, place, start = which[again], place[again], start[again]
     wide = int(sizes.max())
     padded = np.append(data, np.zeros(wide, np.uint8))
-    rows = padded[start[:, None] + np.arange(wide)]
+    rows = np.lib.stride_tricks.sliding_window_view(padded, wide)[start]
     rest = sizes[which] - place
     rows[np.arange(wide) >= rest[:, None]] = 0
     order = np.argsort(np.ascontiguousarray(rows).view(f"S{wide}").ravel(), kind="stable")
@@ -121,10 +126,15 @@ _KINDS = "kind int, bucket int, doc_id long, spans array<long>, packed binary"
 _SCHEMA = pa.schema([("kind", pa.int32()), ("bucket", pa.int32()), ("doc_id", pa.int64()), ("spans", pa.list_(pa.int64())), ("packed", pa.binary())])
 
 
+def _width(least: int, gram: int) -> str:
+    """The type that numbers of a run's windows are packed in."""
+    return "u1" if least - gram + 1 < 256 else "<u2"
+
+
 def _spans(kind: int, doc: np.ndarray, pos: np.ndarray, count: np.ndarray) -> pa.RecordBatch:
     """A row for each document with its runs: place and number of windows in one number."""
     order = np.lexsort((pos, doc))
-    doc, code = doc[order], (pos << 6 | (count - 1))[order]
+    doc, code = doc[order], (pos << _BITS | (count - 1))[order]
     first = np.flatnonzero(np.append(True, doc[1:] != doc[:-1])) if len(doc) else np.zeros(0, np.int64)
     lists = pa.ListArray.from_arrays(pa.array(np.append(first, len(doc)).astype(np.int32)), pa.array(code))
     n = len(first)
@@ -182,7 +192,7 @@ def _packed_runs(docs: DataFrame, doc_id: str, text: str, least: int, gram: int,
             there, own = np.unique(doc[i], return_inverse=True)
             g, h = grams[i] // np.uint64(buckets), hashes[i]
             wide = "<u2" if len(there) < 1 << 16 else "<u4"
-            packed.append(b"".join([np.array([len(i), len(there)], "<u4").tobytes(), there.astype("<i8").tobytes(), (g & np.uint64(0xFFFFFFFF)).astype("<u4").tobytes(), (g >> np.uint64(32) & np.uint64(0xFF)).astype("u1").tobytes(), (h & np.uint64(0xFFFFFFFF)).astype("<u4").tobytes(), (h >> np.uint64(32) & np.uint64(0xFFFF)).astype("<u2").tobytes(), own.astype(wide).tobytes(), pos[i].astype("<u4").tobytes(), (count[i] | lead[i] << 7).astype("u1").tobytes()]))
+            packed.append(b"".join([np.array([len(i), len(there)], "<u4").tobytes(), there.astype("<i8").tobytes(), (g & np.uint64(0xFFFFFFFF)).astype("<u4").tobytes(), (g >> np.uint64(32) & np.uint64(0xFF)).astype("u1").tobytes(), (h & np.uint64(0xFFFFFFFF)).astype("<u4").tobytes(), (h >> np.uint64(32) & np.uint64(0xFFFF)).astype("<u2").tobytes(), own.astype(wide).tobytes(), pos[i].astype("<u4").tobytes(), count[i].astype(_width(least, gram)).tobytes(), np.packbits(lead[i]).tobytes()]))
         yield pa.RecordBatch.from_arrays([pa.array(np.full(buckets, PACKED, np.int32)), pa.array(np.arange(buckets, dtype=np.int32)), pa.nulls(buckets, pa.int64()), pa.nulls(buckets, pa.list_(pa.int64())), pa.array(packed)], schema=_SCHEMA)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -205,7 +215,7 @@ def _packed_runs(docs: DataFrame, doc_id: str, text: str, least: int, gram: int,
     return picked.mapInArrow(run, _KINDS)
 
 
-def _settled(packed: DataFrame, buckets: int, partitions: int) -> DataFrame:
+def _settled(packed: DataFrame, least: int, gram: int, buckets: int, partitions: int) -> DataFrame:
     """Covered and open runs by document, after the runs of all blocks have met in their bucket."""
 
     def done(blobs: list[bytes]) -> Iterator[pa.RecordBatch]:
@@ -223,8 +233,8 @@ def _settled(packed: DataFrame, buckets: int, partitions: int) -> DataFrame:
             docs = read("<i8", m)
             g = read("<u4", n).astype(np.uint64) | read("u1", n).astype(np.uint64) << np.uint64(32)
             h = read("<u4", n).astype(np.uint64) | read("<u2", n).astype(np.uint64) << np.uint64(32)
-            own, pos, count = read("<u2" if m < 1 << 16 else "<u4", n), read("<u4", n), read("u1", n)
-            parts.append((g, h, docs[own], pos.astype(np.int64), (count & 127).astype(np.int64), count > 127))
+            own, pos, count, flag = read("<u2" if m < 1 << 16 else "<u4", n), read("<u4", n), read(_width(least, gram), n), read("u1", -(-n // 8))
+            parts.append((g, h, docs[own], pos.astype(np.int64), count.astype(np.int64), np.unpackbits(flag, count=n) > 0))
         g, h, doc, pos, count, flag = (np.concatenate(x) for x in zip(*parts, strict=True))
         if not len(g):
             return
@@ -273,19 +283,44 @@ def _with_spans(docs: DataFrame, spans: DataFrame, doc_id: str, text: str, how:
 
 
 def _open_bytes(open_runs: DataFrame, docs: DataFrame, doc_id: str, text: str, least: int, gram: int) -> DataFrame:
-    """key, doc_id, pos, n, left, bytes of open runs, and of single windows for hot ones."""
+    """key, doc_id, pos, n, before, bytes of open runs, and of single windows for hot ones.
+
+    Of equal hot windows in one block only those of the first document go on; the others are covered, and have no bytes.
+    """
     coded = open_runs.select("doc_id", F.transform("spans", lambda x: F.shiftleft(x, 1).bitwiseOR(F.when(F.col("kind") == HOT_OPEN, 1).otherwise(0))).alias("spans"))
     spans = checkpoint(coded.groupBy("doc_id").agg(F.flatten(F.collect_list("spans")).alias("spans")))
     schema = pa.schema([("key", pa.int64()), ("doc_id", pa.int64()), ("pos", pa.int64()), ("n", pa.int32()), ("before", pa.int32()), ("bytes", pa.binary())])
 
+    def settled(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+        rows = pa.Table.from_batches(parts).combine_chunks()
+        key, doc, pos, n = (rows.column(c).to_numpy() for c in ("key", "doc_id", "pos", "n"))
+        order = np.lexsort((doc, key))
+        first = np.flatnonzero(np.append(True, key[order][1:] != key[order][:-1]))
+        late = np.zeros(len(key), bool)
+        late[order] = doc[order] > np.repeat(doc[order][first], np.diff(np.append(first, len(key))))
+        key = np.where(late, mix(doc.view(np.uint64)).view(np.int64), key)
+        blobs = pc.if_else(pa.array(late), pa.scalar(None, pa.binary()), rows.column("bytes"))
+        return pa.Table.from_arrays([pa.array(key), pa.array(doc), pa.array(pos), pa.array(n), rows.column("before"), blobs], schema=schema).combine_chunks().to_batches()[0]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: list[pa.RecordBatch] = []
+        for rows, hot in windows(batches):
+            yield rows.filter(pa.array(~hot))
+            waiting.append(rows.filter(pa.array(hot)))
+            if sum(map(len, waiting)) > HOT_ROWS:
+                yield settled(waiting)
+                waiting = []
+        if any(map(len, waiting)):
+            yield settled(waiting)
+
+    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
         for batch in batches:
             for part in slices(batch, 1, _SLICE):
                 data, offsets = flat(part.column(1))
                 lists = part.column(2)
                 code = np.asarray(lists.flatten())
                 own = np.repeat(np.arange(len(part)), np.asarray(pc.list_value_length(lists)))
-                hot, count, pos = (code & 1) > 0, (code >> 1 & 63) + 1, code >> 7
+                hot, count, pos = (code & 1) > 0, (code >> 1 & (1 << _BITS) - 1) + 1, code >> _BITS + 1
                 start = offsets[own] + pos
                 ok = start + count + least - 1 <= offsets[own + 1]  # an id on several texts
                 hot, count, pos, start, own = (x[ok] for x in (hot, count, pos, start, own))
@@ -304,7 +339,7 @@ def _open_bytes(open_runs: DataFrame, docs: DataFrame, doc_id: str, text: str, l
                 raw = data.tobytes()
                 cut = [raw[a : a + n + least - 1] for a, n in zip(start.tolist(), count.tolist(), strict=True)]
                 before = np.where(pos > 0, data[np.maximum(start - 1, 0)], 256 + doc % 2**20).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(doc), pa.array(pos), pa.array(count.astype(np.int32)), pa.array(before), pa.array(cut, pa.binary())], schema=schema)
+                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(doc), pa.array(pos), pa.array(count.astype(np.int32)), pa.array(before), pa.array(cut, pa.binary())], schema=schema), hot
 
     return _with_spans(docs, spans, doc_id, text, "inner").mapInArrow(run, "key long, doc_id long, pos long, n int, before int, bytes binary")
 
@@ -326,13 +361,17 @@ def _scanned(open_bytes: DataFrame, partitions: int, least: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, rows = [], 0
         for batch in batches:
+            covered = batch.filter(pc.is_null(batch.column(5)))
+            if len(covered):
+                yield _spans(COVERED, *(np.asarray(covered.column(c)) for c in (1, 2, 3))).select([2, 3])
+                batch = batch.filter(pc.is_valid(batch.column(5)))
             key = np.asarray(batch.column(0))
             while len(key):
                 # a part ends between two keys
-                room = max(0, 40_000 - rows)
+                room = max(0, PART - rows)
                 ends = np.flatnonzero(np.append(key[1:] != key[:-1], False))
                 cut = ends[np.searchsorted(ends, room)] + 1 if len(ends) and room <= ends[-1] else len(key)
-                if held and rows >= 40_000 and key[0] != held[-1].column(0)[-1].as_py():
+                if held and rows >= PART and key[0] != held[-1].column(0)[-1].as_py():
                     yield from done(held)
                     held, rows = [], 0
                     continue
@@ -353,7 +392,7 @@ def _ranges(spans: DataFrame, least: int) -> DataFrame:
             merged = []
             for code in batch.column(1).to_pylist():
                 code = np.sort(np.array(code, np.int64))
-                start, end = code >> 6, (code >> 6) + (code & 63) + least
+                start, end = code >> _BITS, (code >> _BITS) + (code & (1 << _BITS) - 1) + least
                 reach = np.maximum.accumulate(end)
                 first = np.flatnonzero(np.append(True, start[1:] > reach[:-1]))
                 merged.append(np.stack([start[first], np.append(reach[first[1:] - 1], reach[-1])], 1).ravel())
@@ -370,11 +409,13 @@ def repeated_spans(docs: DataFrame, least: int = LEAST, gram: int = GRAM, doc_id
     Documents without such bytes have no row, nor have null ids, which have no order; texts of one id don't repeat
     each other. Other columns of docs aren't read.
     """
+    if not 1 <= gram <= least < gram + (1 << _BITS):
+        raise ValueError(f"strings of {gram} bytes don't suit passages of {least}")
     spark = docs.sparkSession
     bounded_batches(spark)
     partitions = shuffle_partitions(spark)
     buckets = max(64, 2 * partitions)
-    known = checkpoint(_settled(_packed_runs(docs, doc_id, text, least, gram, buckets), buckets, partitions))
+    known = checkpoint(_settled(_packed_runs(docs, doc_id, text, least, gram, buckets), least, gram, buckets, partitions))
     later = _scanned(_open_bytes(known.filter(f"kind in ({OPEN}, {HOT_OPEN})"), docs, doc_id, text, least, gram), partitions, least)
     return checkpoint(_ranges(known.filter(f"kind = {COVERED}").select("doc_id", "spans").union(later), least))
 

@@ -155,8 +155,8 @@ def removed(texts, least=50):
     return sorted(out)
 
 
-def cut(docs):
-    return sorted((-1 if r.doc_id is None else r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in repeats.remove_repeats(docs).collect())
+def cut(docs, **lengths):
+    return sorted((-1 if r.doc_id is None else r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in repeats.remove_repeats(docs, **lengths).collect())
 
 
 @pytest.fixture(scope="module")
@@ -182,9 +182,27 @@ def test_hot_strings_are_dealt_by_window(passages, monkeypatch):
     monkeypatch.setattr(repeats, "HOT_BLOCK", 1)
     monkeypatch.setattr(repeats, "HOT", 2)
     monkeypatch.setattr(repeats, "_FLUSH", 10)
+    monkeypatch.setattr(repeats, "HOT_ROWS", 7)
+    monkeypatch.setattr(repeats, "PART", 20)
     assert cut(docs) == removed(rows)
 
 
+@pytest.mark.parametrize(("least", "gram"), [(30, 8), (200, 24), (600, 24), (20, 20)])
+def test_other_lengths(passages, documents, least, gram):
+    rows, docs = passages
+    assert cut(docs, least=least, gram=gram) == removed(rows, least)
+    rng = random.Random(least)
+    long = "".join(rng.choice("abcdefgh ") for _ in range(2000))
+    rows = [(k, "".join(rng.choice("xyz ") for _ in range(9 * k)) + long[37 * k : 37 * k + 900]) for k in range(12)]
+    assert cut(docs.sparkSession.createDataFrame(rows, "doc_id long, text string"), least=least, gram=gram) == removed(rows, least)
+
+
+def test_lengths_that_do_not_suit(documents):
+    for least, gram in ((10, 11), (70_000, 24), (50, 0)):
+        with pytest.raises(ValueError, match="passages"):
+            repeats.remove_repeats(documents, least, gram)
+
+
 def test_repeats_of_documents(spark, documents, odd, odd_rows, clashing, empty):
     assert cut(documents) == removed([(r.doc_id, r.text) for r in documents.collect()])
     wanted = removed([(r[0], r[1]) for r in odd_rows])
