@@ -177,13 +177,13 @@ def shuffle_partitions(spark: SparkSession) -> int:
 def components(edges: DataFrame) -> DataFrame:
     """edges (a, b) -> node, root: the smallest node that each node reaches; only nodes with edges.
 
-    In each round a node takes the least label among its own, its neighbours' and its label's own label, so paths
-    halve. A round is one join and one aggregation, and is written out; only a sum of hashes comes to the driver.
+    In each round a node takes the least label among its neighbours' and its label's own label, so paths halve. A
+    round is one join and one aggregation, and is written out; only a sum of hashes comes to the driver.
     """
     plain = edges.select("a", "b").filter("a <> b")
-    both = plain.select(F.explode(F.array(*[F.struct(F.col(x).alias("a"), F.col(y).alias("b")) for x, y in ("ab", "ba", "aa", "bb")])).alias("e"))
+    both = plain.select(F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("e"))
     both = checkpoint(both.select("e.a", "e.b").distinct())
-    labels, before = checkpoint(both.groupBy("a").agg(F.min("b").alias("root")).select(F.col("a").alias("node"), "root")), None
+    labels, before = checkpoint(both.groupBy("a").agg(F.min("b").alias("root")).select(F.col("a").alias("node"), F.least("a", "root").alias("root"))), None
     while True:
         now = labels.agg(F.sum(F.xxhash64("node", "root").cast("decimal(38,0)"))).first()[0]
         if now == before:
