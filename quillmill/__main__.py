@@ -30,7 +30,7 @@ PERSON = (
     "category string, pos long, name string, role string, party string, state string, constituency string, criminal_cases int, criminal_cases_in_news int, "
     f"wikipedia string, affidavit_url string, image_placeholder string, controversies array<{_INCIDENT}>, criminal_incidents array<{_INCIDENT}>"
 )
-HINDI = ", name_hi string, role_hi string, party_hi string, state_hi string, constituency_hi string"
+TRANSLATED = ", name_hi string, role_hi string, party_hi string, state_hi string, constituency_hi string"
 
 
 def _incident(x: dict) -> tuple:
@@ -57,7 +57,7 @@ def refresh_entities(spark: SparkSession, folder: str, translator: Translator, g
     except ValueError:
         return False
     old = tables.glossary(str(target)) if target.exists() else {}
-    known, before = persons(spark, library, PERSON), persons(spark, old, PERSON + HINDI)
+    known, before = persons(spark, library, PERSON), persons(spark, old, PERSON + TRANSLATED)
     # translate each distinct text once, and look it up in the merge
     texts = [F.array(*["name", "role", "party", "state", "constituency"]), *[F.transform(c, lambda x: x["incident_text"]) for c in INCIDENTS]]
     each = known.select(F.explode(F.array_distinct(F.flatten(F.array(*texts)))).alias("t")).filter("t is not null").distinct()

@@ -6,13 +6,17 @@ its matches into it, so phases can be combined.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import re
+import unicodedata
+from collections.abc import Callable, Iterator
 
+import pandas as pd
+import regex
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from quillmill.functions.text import filled
-from quillmill.functions.values import CAPITAL_STOP_WORDS, EDGE, MONEY, NEWS_TERMS, NOUNS, TIME
+from quillmill.functions.values import CAPITAL_STOP_WORDS, EDGE, MONEY, NEWS_TERMS, NOUNS, TIME, WS
 
 _ENTRIES = "array<struct<placeholder:string,original:string>>"
 
@@ -34,10 +38,6 @@ def _first_replaced(text: Column, part: Column, new: Column) -> Column:
     return F.when(at > 0, changed).otherwise(text)
 
 
-def _bounded(part: Column) -> Column:
-    return F.concat(F.lit(EDGE + r"\Q"), F.replace(part, F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E" + EDGE))
-
-
 def _matches(mask: Column, pattern: str) -> Column:
     return F.regexp_extract_all(mask["text"], F.lit(pattern), F.lit(0))
 
@@ -51,30 +51,129 @@ def mask_money(mask: Column) -> Column:
     return F.aggregate(_matches(mask, f"{MONEY}{EDGE}"), mask, lambda m, x: _step(m, "MONEY", x, lambda p: _first_replaced(m["text"], x, p)))
 
 
-def _longest_first(values: Column) -> Column:
-    keyed = F.transform(F.array_distinct(values), lambda x: F.struct((-F.length(x)).alias("n"), x.alias("x")))
-    return F.transform(F.array_sort(keyed), lambda s: s["x"])
-
-
 def mask_nouns(mask: Column) -> Column:
     """Names of several capitalised words that don't start with a stop-word, the longest first, all their occurrences."""
-    found = F.filter(_matches(mask, f"{EDGE}{NOUNS}{EDGE}"), lambda x: ~F.regexp_extract(x, r"^[a-zA-Z.]+", 0).isin(*CAPITAL_STOP_WORDS))
-    return F.aggregate(_longest_first(found), mask, lambda m, x: _step(m, "NOUN", x, lambda p: F.regexp_replace(m["text"], _bounded(x), p)))
+    return _masked_in_python(mask, [_noun_phase()])
 
 
 def mask_terms(mask: Column, terms: list[str] | None = None) -> Column:
     """News terms, the longest first: the first occurrence's spelling, wherever the text has just that."""
-    ordered = sorted(set(terms or NEWS_TERMS), key=lambda x: (-len(x), x))
-    # only those that are in the text at all; the fold's patterns are the dear part
-    low = F.lower(mask["text"])
-    there = F.flatten(F.array(*[F.when(low.contains(x), F.array(F.lit(x))).otherwise(F.array().cast("array<string>")) for x in ordered]))
+    return _masked_in_python(mask, [_term_phase(terms or NEWS_TERMS)])
+
+
+def mask_nouns_and_terms(mask: Column) -> Column:
+    """mask_nouns, then mask_terms, in one pass over the rows."""
+    return _masked_in_python(mask, [_noun_phase(), _term_phase(NEWS_TERMS)])
+
+
+# ---------------------------------------------------------------- phases whose patterns come from the text
 
-    def fold(m: Column, x: Column) -> Column:
-        first = F.regexp_extract_all(m["text"], F.concat(F.lit("(?i)"), _bounded(x)), F.lit(0))
-        spelt = F.coalesce(F.try_element_at(first, F.lit(1)), F.lit(""))
-        return F.when(spelt == "", m).otherwise(_step(m, "NOUN", spelt, lambda p: F.regexp_replace(m["text"], _bounded(spelt), p)))
+#: A phase: (text, index of the next placeholder) -> (text, originals in the order of their placeholders).
+Phase = Callable[[str, int], tuple[str, list[str]]]
+
+
+def _masked_in_python(mask: Column, phases: list[Phase]) -> Column:
+    """The phases by Arrow batches: as expressions, each name and term of a text would cost a pattern and a copy of the text."""
+
+    def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        for texts, starts in batches:
+            out, found = [], []
+            for x, start in zip(texts, starts, strict=True):
+                originals: list[str] = []
+                for phase in phases:
+                    x, more = phase(x, start + len(originals))
+                    originals += more
+                out.append(x)
+                found.append(originals)
+            yield pd.DataFrame({"text": out, "originals": found})
+
+    made = F.pandas_udf(run, "text string, originals array<string>")(mask["text"], mask["next"])
+    # one row's struct, so that the function is called once
+    return F.transform(F.array(made), lambda m: _joined(mask, m))[0]
+
+
+def _joined(mask: Column, made: Column) -> Column:
+    new = F.transform(made["originals"], lambda x, k: F.struct(F.concat(F.lit("__NOUN_"), (mask["next"] + k).cast("string"), F.lit("__")).alias("placeholder"), x.alias("original")))
+    return F.struct(made["text"].alias("text"), F.concat(mask["entries"], new).alias("entries"), (mask["next"] + F.size(made["originals"])).alias("next"))
+
+
+def _is_word(c: str) -> bool:
+    return c == "_" or unicodedata.category(c)[0] in "LN"
+
+
+def _at_edge(text: str, k: int) -> bool:
+    """Whether a word begins or ends at k."""
+    before, after = k > 0 and _is_word(text[k - 1]), k < len(text) and _is_word(text[k])
+    return before != after
+
+
+def _replaced(text: str, part: str, new: str) -> str:
+    """text with part replaced wherever both its ends are word edges."""
+    out, last, at = [], 0, text.find(part)
+    while at >= 0:
+        end = at + len(part)
+        if _at_edge(text, at) and _at_edge(text, end):
+            out += [text[last:at], new]
+            last, at = end, text.find(part, end)
+        else:
+            at = text.find(part, at + 1)
+    return "".join([*out, text[last:]])
+
+
+def _noun_phase() -> Phase:
+    """One scan finds all runs of capitalised words; every occurrence of a name lies in one of them.
+
+    A run that is a name is replaced whole, as no longer name fits into it. Only in the others, which start with a
+    stop-word, are names looked up, between their word edges.
+    """
+    runs = regex.compile(EDGE + NOUNS.replace(WS, r"\s") + EDGE)  # there, \s is all white space of Unicode
+    first, stop = re.compile("[a-zA-Z.]+"), frozenset(CAPITAL_STOP_WORDS)
+
+    def phase(text: str, start: int) -> tuple[str, list[str]]:
+        found = [m.span() for m in runs.finditer(text)]
+        names = {text[a:b] for a, b in found if first.match(text, a)[0] not in stop}
+        if not names:
+            return text, []
+        order = sorted(names, key=lambda x: (-len(x), x))
+        mark = {x: f"__NOUN_{start + k}__" for k, x in enumerate(order)}
+        longest = len(order[0])
+
+        def inside(run: str) -> str:
+            edges = [k for k in range(len(run) + 1) if _at_edge(run, k)]
+            there = {run[a:b] for i, a in enumerate(edges) for b in edges[i + 1 :] if b - a <= longest} & names
+            for x in sorted(there, key=lambda x: (-len(x), x)):
+                run = _replaced(run, x, mark[x])
+            return run
+
+        out, last = [], 0
+        for a, b in found:
+            run = text[a:b]
+            out += [text[last:a], mark.get(run) or inside(run)]
+            last = b
+        return "".join([*out, text[last:]]), order
+
+    return phase
+
+
+def _term_phase(terms: list[str]) -> Phase:
+    """Only terms that the text has at all are looked for by pattern; letters of ASCII count as equal in both cases."""
+    ordered = sorted(set(terms), key=lambda x: (-len(x), x))
+    patterns = {x: re.compile("".join(f"[{c.lower()}{c.upper()}]" if c.isascii() and c.isalpha() else re.escape(c) for c in x)) for x in ordered}
 
-    return F.aggregate(there, mask, fold)
+    def phase(text: str, start: int) -> tuple[str, list[str]]:
+        low, found = text.lower(), []
+        for x in ordered:
+            if x.lower() not in low:
+                continue
+            at = patterns[x].search(text)
+            while at and not (_at_edge(text, at.start()) and _at_edge(text, at.end())):
+                at = patterns[x].search(text, at.start() + 1)
+            if at:
+                text = _replaced(text, at[0], f"__NOUN_{start + len(found)}__")
+                found.append(at[0])
+        return text, found
+
+    return phase
 
 
 def unmask(text: Column, entries: Column) -> Column:

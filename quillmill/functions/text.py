@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from quillmill.functions.values import CAPITAL_STOP_WORDS, DEVANAGARI, EDGE, HINDI_STOP_WORDS, NAME, NUMBER, TITLE_CHARS, WS
+from quillmill.functions.values import CAPITAL_STOP_WORDS, DEVANAGARI, EDGE, TARGET_STOP_WORDS, NAME, NUMBER, TITLE_CHARS, WS
 
 
 def filled(text: Column) -> Column:
@@ -79,7 +79,7 @@ def shorten(text: Column, chars: int) -> Column:
     return F.left(text, F.lit(chars))
 
 
-def hindi_tokens(text: Column) -> Column:
+def target_tokens(text: Column) -> Column:
     """Runs of the Devanagari block, dandas and digits included."""
     return F.regexp_extract_all(filled(text), F.lit(f"[{DEVANAGARI}]+"), F.lit(0))
 
@@ -89,4 +89,4 @@ def letter_tokens(text: Column) -> Column:
 
 
 def countable(token: Column) -> Column:
-    return (F.length(token) >= 3) & ~token.isin(*HINDI_STOP_WORDS)
+    return (F.length(token) >= 3) & ~token.isin(*TARGET_STOP_WORDS)

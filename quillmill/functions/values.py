@@ -25,8 +25,8 @@ NEWS_TERMS = (
     "electronic, automatic, financial, strategic, medical"
 ).split(", ")
 
-#: Hindi stop-words of the vocabulary miner.
-HINDI_STOP_WORDS = "के की का को में से पर और है हैं था थी थे कि यह वह जो एक ने भी तो हो कर लिए किया गया गई गए इस उस साथ या तक बाद पहले दौरान लगभग".split()
+#: Stop-words of the target language, for the vocabulary miner.
+TARGET_STOP_WORDS = "के की का को में से पर और है हैं था थी थे कि यह वह जो एक ने भी तो हो कर लिए किया गया गई गए इस उस साथ या तक बाद पहले दौरान लगभग".split()
 
 #: Words known to be loans, with their Latin spelling.
 LOAN_SEED = {

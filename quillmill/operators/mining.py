@@ -35,6 +35,6 @@ def report_line(rank: Column, n: Column, token: Column, gloss: Column, latin: Co
 
 def report(rows: DataFrame, sampled: int) -> str:
     """The report of ranked candidates as Markdown; the list is as long as its limit."""
-    head = ["# Glossary Candidates", "", f"Sampled {sampled} articles. Tokens ranked by frequency.", "", "| # | Freq | Hindi token | Means (gloss) | Suggested Latin | Loan? |", "|---|------|-------------|---------------|-----------------|-------|"]
+    head = [f"# Words for the glossary, from {sampled} texts", "", "| rank | times | word | meaning | spelling | loan |", "|-|-|-|-|-|-|"]
     line = report_line(*(F.col(c) for c in ("rank", "n", "token", "gloss", "suggest_latin", "flag")))
     return "\n".join(head + [r[0] for r in ranked(rows).orderBy("rank").select(line).collect()])

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from quillmill.functions.gates import verify
 from quillmill.functions.glossary import apply_glossary
-from quillmill.functions.text import hindi_tokens, simple_sentences, strip, strip_bold, title_fallback, title_trim
+from quillmill.functions.text import target_tokens, simple_sentences, strip, strip_bold, title_fallback, title_trim
 from quillmill.functions.values import BATCH, SAMPLE, SHARDS, TEST_BATCH, TOP
 from quillmill.operators import mining, state
 from quillmill.operators.nested import refresh
@@ -131,8 +131,8 @@ def corpus_sample(articles_: DataFrame, key: str, text: str, most: int = SAMPLE)
 def mine(sample: DataFrame, text: str, translator: Translator, most: int = TOP) -> DataFrame:
     """Candidates for the glossary from translated sentences of a sample."""
     each = sample.select(F.explode(simple_sentences(F.col(text))).alias("sentence"))
-    spoken = translate_short(each, "sentence", "hindi", translator)
-    top = mining.top_tokens(spoken, "hindi", hindi_tokens, most)
+    spoken = translate_short(each, "sentence", "spoken", translator)
+    top = mining.top_tokens(spoken, "spoken", target_tokens, most)
     return mining.candidates(top, lambda token: translate_back(translator, token))
 
 

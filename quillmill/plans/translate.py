@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillmill.functions.mask import mask_money, mask_nouns, mask_terms, mask_times, unmask, unmasked
+from quillmill.functions.mask import mask_money, mask_nouns_and_terms, mask_times, unmask, unmasked
 from quillmill.functions.text import quote_strip, sentences, strip, strip_bold
 
 
@@ -104,13 +104,13 @@ def _called_by_sentence(translator: Translator, task: str, parts: Column) -> Col
 
 def mask_all(text: Column) -> Column:
     """Times, money, names and news terms masked, with one running index."""
-    return mask_terms(mask_nouns(mask_money(mask_times(unmasked(text)))))
+    return mask_nouns_and_terms(mask_money(mask_times(unmasked(text))))
 
 
 def with_masks(df: DataFrame, text: str, out: str) -> DataFrame:
     """df with a mask column. Each phase is a column of its own, as its text is read more than once."""
     df = df.withColumn(out, unmasked(F.col(text)))
-    for phase in (mask_times, mask_money, mask_nouns, mask_terms):
+    for phase in (mask_times, mask_money, mask_nouns_and_terms):
         df = df.withColumn(out, phase(F.col(out)))
     return df
 

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillmill.functions import gates, glossary, mask, text
-from quillmill.functions.values import CAPITAL_STOP_WORDS, HINDI_STOP_WORDS, LOAN_SEED, ROMAN
+from quillmill.functions.values import CAPITAL_STOP_WORDS, TARGET_STOP_WORDS, LOAN_SEED, ROMAN
 from quillmill.operators import mining, nested, state
 from quillmill.plans import jobs
 from quillmill.plans.translate import Lexicon, with_masks
@@ -37,6 +37,12 @@ def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """df over all cores: a scan of fewer partitions than there are cores is dealt out where the work on a row is heavy; larger ones stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def _lines(x: Column) -> Column:
     return F.array_join(x, "\n")
 
@@ -152,31 +158,31 @@ _SENTENCES = _PARTS.format(_SPLIT)
 _SIMPLE = _PARTS.format(r"string_split(regexp_replace(text, '([.!?])\s+', '\1' || chr(1), 'g'), chr(1))")
 
 
-@query("SELECT doc_id, length(text) AS n, md5(text) AS digest FROM documents")
+_MARKED = "replace(text, ' the ', ' **the** ')"
+
+
+@query(f"SELECT doc_id, length(t) AS n, md5(t) AS digest FROM (SELECT doc_id, replace({_MARKED}, '**', '') AS t FROM documents)")
 def markdown_strip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    marked = F.replace(F.col("text"), F.lit(" the "), F.lit(" **the** "))
-    # junk has runs of stars of its own; they are shielded so that only the marks are stripped
-    plain = F.replace(text.strip_bold(F.replace(F.replace(marked, F.lit("*"), F.lit("\x01")), F.lit("\x01\x01the\x01\x01"), F.lit("**the**"))), F.lit("\x01"), F.lit("*"))
+    plain = text.strip_bold(F.expr(_MARKED))
     return _t(spark, sf_dir, "documents").select("doc_id", F.length(plain).cast("long").alias("n"), _md5(plain).alias("digest"))
 
 
 @query(f"SELECT doc_id, length(s)::BIGINT AS n, md5(array_to_string(s, chr(10))) AS digest FROM (SELECT doc_id, {_SENTENCES} AS s FROM documents)")
 def sentence_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _t(spark, sf_dir, "documents").withColumn("s", text.sentences(F.col("text")))
+    docs = _spread(_t(spark, sf_dir, "documents")).withColumn("s", text.sentences(F.col("text")))
     return docs.select("doc_id", F.size("s").cast("long").alias("n"), _md5(_lines(F.col("s"))).alias("digest"))
 
 
 @query(f"SELECT doc_id, length(s)::BIGINT AS n, md5(array_to_string(s, chr(10))) AS digest FROM (SELECT doc_id, {_SIMPLE} AS s FROM documents)")
 def sentence_split_simple(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _t(spark, sf_dir, "documents").withColumn("s", text.simple_sentences(F.col("text")))
+    docs = _spread(_t(spark, sf_dir, "documents")).withColumn("s", text.simple_sentences(F.col("text")))
     return docs.select("doc_id", F.size("s").cast("long").alias("n"), _md5(_lines(F.col("s"))).alias("digest"))
 
 
 @query(f"SELECT doc_id, md5(array_to_string(s, ' ')) AS digest FROM (SELECT doc_id, {_SENTENCES} AS s FROM documents) WHERE length(s) > 0")
 def sentence_rejoin(spark: SparkSession, sf_dir: str) -> DataFrame:
-    each = _t(spark, sf_dir, "documents").select("doc_id", F.posexplode(text.sentences(F.col("text"))).alias("pos", "s"))
-    rows = each.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("pos", "s"))).alias("parts"))
-    return rows.select("doc_id", _md5(F.array_join(F.transform("parts", lambda x: x["s"]), " ")).alias("digest"))
+    rows = _spread(_t(spark, sf_dir, "documents")).select("doc_id", text.sentences(F.col("text")).alias("s")).filter(F.size("s") > 0)
+    return rows.select("doc_id", _md5(F.array_join("s", " ")).alias("digest"))
 
 
 @query(f"SELECT doc_id, array_to_string({_numbers_sql('text')}, ' ') AS numbers FROM documents")
@@ -205,7 +211,7 @@ def script_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"SELECT doc_id, length(e)::BIGINT AS n, md5(array_to_string(e, ' ')) AS digest FROM (SELECT doc_id, {_names_sql('text')} AS e FROM documents)")
 def entities_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _t(spark, sf_dir, "documents").withColumn("e", text.names(F.col("text")))
+    rows = _spread(_t(spark, sf_dir, "documents")).withColumn("e", text.names(F.col("text")))
     return rows.select("doc_id", F.size("e").cast("long").alias("n"), _md5(F.array_join("e", " ")).alias("digest"))
 
 
@@ -257,27 +263,27 @@ def title_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _t(spark, sf_dir, "documents").select("doc_id", text.title_fallback(F.expr(_BODY)).alias("title"))
 
 
-@query("""SELECT doc_id, regexp_replace(trim(' "' || left(text, 40) || '।'' ', '"''। '), '^\\s+|\\s+$', '', 'g') AS title FROM documents""")
+@query("""SELECT doc_id, regexp_replace(trim(' "' || text || '।'' ', '"''। '), '^\\s+|\\s+$', '', 'g') AS title FROM documents""")
 def title_trim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    quoted = F.concat(F.lit(' "'), F.left("text", F.lit(40)), F.lit("।' "))
+    quoted = F.concat(F.lit(' "'), F.col("text"), F.lit("।' "))
     return _t(spark, sf_dir, "documents").select("doc_id", text.title_trim(quoted).alias("title"))
 
 
-@query("""SELECT doc_id, regexp_replace(t, '^["'']|["'']$', '', 'g') AS t FROM (SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN '"' || left(text, 60) || '"' WHEN 1 THEN '''''' || left(text, 60) ELSE left(text, 60) END AS t FROM documents)""")
+@query("""SELECT doc_id, regexp_replace(t, '^["'']|["'']$', '', 'g') AS t FROM (SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN '"' || text || '"' WHEN 1 THEN '''''' || text ELSE text END AS t FROM documents)""")
 def quote_strip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    head = F.left("text", F.lit(60))
+    head = F.col("text")
     quoted = F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit('"'), head, F.lit('"'))).when(F.col("doc_id") % 3 == 1, F.concat(F.lit("''"), head)).otherwise(head)
     return _t(spark, sf_dir, "documents").select("doc_id", text.quote_strip(quoted).alias("t"))
 
 
 # ---------------------------------------------------------------- the vocabulary miner
 
-_STOP = ", ".join(f"'{w}'" for w in HINDI_STOP_WORDS)
+_STOP = ", ".join(f"'{w}'" for w in TARGET_STOP_WORDS)
 _TOP = f"SELECT token, count(*) AS n FROM (SELECT unnest(regexp_extract_all(text, '\\p{{L}}+')) AS token FROM documents) WHERE length(token) >= 3 AND token NOT IN ({_STOP}) GROUP BY token ORDER BY n DESC, token LIMIT 250"
 
 
 def _top(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mining.top_tokens(_t(spark, sf_dir, "documents"), "text", text.letter_tokens)
+    return mining.top_tokens(_spread(_t(spark, sf_dir, "documents")), "text", text.letter_tokens)
 
 
 @query(_TOP)
@@ -287,23 +293,26 @@ def token_topn(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _LOAN_PAIRS = [("कारण", "reason"), ("रूप", "form"), ("करने", "to do"), ("पुलिस", "Police"), ("बजट", " budget "), ("है।", "is."), ("जनता", "public"), ("फल", "fruit"), ("मकान", "house"), ("टमाटर", "tomato"),
     ("नगर", "city"), ("डॉक्टर", "doctor"), ("सरकार", "government"), ("मंत्री", "minister"), ("दल", ""), ("कलम", "column"), ("लंदन", "London"), ("न", "no"), ("बाज़ार", "bazaar"), ("स्कूल", "school")]
-_LOANS = ", ".join(f"('{a}', '{b}')" for a, b in _LOAN_PAIRS)
+_LOANS = ", ".join(f"({k}, '{a}', '{b}')" for k, (a, b) in enumerate(_LOAN_PAIRS))
 _ROMAN_SQL = "MAP {" + ", ".join(f"'{k}': '{v}'" for k, v in ROMAN.items()) + "}"
 _SEED_SQL = "MAP {" + ", ".join(f"'{k}': '{v}'" for k, v in LOAN_SEED.items()) + "}"
 
 
 @query(
-    f"""WITH r AS (SELECT token, gloss, array_to_string(list_transform(regexp_extract_all(token, '(?s).'), lambda c: coalesce(({_ROMAN_SQL})[c], '')), '') AS a,
-  regexp_replace(regexp_replace(lower(trim(gloss)), '[aeiou]', '', 'g'), '[^a-z]', '', 'g') AS b FROM (VALUES {_LOANS}) v(token, gloss)),
+    f"""WITH r AS (SELECT p_partkey, token, gloss, array_to_string(list_transform(regexp_extract_all(token, '(?s).'), lambda c: coalesce(({_ROMAN_SQL})[c], '')), '') AS a,
+  regexp_replace(regexp_replace(lower(trim(gloss)), '[aeiou]', '', 'g'), '[^a-z]', '', 'g') AS b FROM (SELECT p_partkey, token, CASE WHEN p_size % 2 = 0 THEN gloss ELSE p_type END AS gloss FROM part JOIN (VALUES {_LOANS}) v(k, token, gloss) ON p_partkey % {len(_LOAN_PAIRS)} = k)),
 s AS (SELECT *, CASE WHEN length(b) < length(a) THEN b ELSE a END AS x, CASE WHEN length(b) < length(a) THEN a ELSE b END AS y FROM r),
-f AS (SELECT token, gloss, token IN (SELECT unnest(map_keys({_SEED_SQL}))) OR regexp_matches(token, '[\\x{{0911}}\\x{{091C}}\\x{{093C}}\\x{{092B}}\\x{{0929}}]')
+f AS (SELECT p_partkey, token, gloss, token IN (SELECT unnest(map_keys({_SEED_SQL}))) OR regexp_matches(token, '[\\x{{0911}}\\x{{091C}}\\x{{093C}}\\x{{092B}}\\x{{0929}}]')
   OR (length(x) >= 2 AND length(list_filter(regexp_extract_all(x, '.'), lambda c: contains(y, c))) / greatest(1, length(x)) >= 0.6) AS flag FROM s)
-SELECT token, gloss, coalesce(({_SEED_SQL})[token], CASE WHEN flag THEN lower(trim(gloss)) END, '') AS suggest_latin, flag FROM f"""
+SELECT p_partkey, token, gloss, coalesce(({_SEED_SQL})[token], CASE WHEN flag THEN lower(trim(gloss)) END, '') AS suggest_latin, flag FROM f"""
 )
 def loan_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = spark.createDataFrame(_LOAN_PAIRS, "token string, gloss string")
+    """Each part has one of the tokens, and as its gloss that token's or the part's type."""
+    pairs = F.array(*[F.struct(F.lit(a).alias("token"), F.lit(b).alias("gloss")) for a, b in _LOAN_PAIRS])
+    rows = _t(spark, sf_dir, "part").withColumn("pair", F.get(pairs, F.col("p_partkey") % len(_LOAN_PAIRS)))
+    rows = rows.select("p_partkey", "pair.token", F.when(F.col("p_size") % 2 == 0, F.col("pair.gloss")).otherwise(F.col("p_type")).alias("gloss"))
     token, gloss = F.col("token"), F.col("gloss")
-    return rows.select("token", "gloss", glossary.suggested_latin(token, gloss).alias("suggest_latin"), glossary.looks_loan(token, gloss).alias("flag"))
+    return rows.select("p_partkey", "token", "gloss", glossary.suggested_latin(token, gloss).alias("suggest_latin"), glossary.looks_loan(token, gloss).alias("flag"))
 
 
 @query(f"SELECT rank, '| ' || rank || ' | ' || n || ' | ' || token || ' | ' || upper(token) || ' |  |  |' AS line FROM (SELECT row_number() OVER (ORDER BY n DESC, token) AS rank, n, token FROM ({_TOP}))")
@@ -330,14 +339,14 @@ def mask_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("event_id", F.col("m.text").alias("t"), _entries("m").alias("entries"))
 
 
-@query("""SELECT o_orderkey, 'Paid __MONEY_0__ and __MONEY_1__ fee' AS t, '__MONEY_0__=$' || total || ' million;__MONEY_1__=Rs. ' || o_orderkey AS entries
+@query("""SELECT o_orderkey, 'Paid __MONEY_0__ and __MONEY_1__fee' AS t, '__MONEY_0__=$' || total || ' million;__MONEY_1__=Rs. ' || o_orderkey || ' ' AS entries
 FROM (SELECT o_orderkey, o_totalprice::DECIMAL(12,2)::VARCHAR AS total FROM orders)""")
 def mask_money(spark: SparkSession, sf_dir: str) -> DataFrame:
     total = F.col("o_totalprice").cast("decimal(12,2)").cast("string")
-    sentence = F.concat(F.lit("Paid $"), total, F.lit(" million and Rs. "), F.col("o_orderkey").cast("string"), F.lit("x fee"))
-    # an x right after a number would leave no boundary, so it goes first
-    rows = _t(spark, sf_dir, "orders").select("o_orderkey", mask.mask_money(mask.unmasked(F.replace(sentence, F.lit("x fee"), F.lit(" fee")))).alias("m"))
-    return rows.select("o_orderkey", F.regexp_replace("m.text", "__fee", "__ fee").alias("t"), F.trim(_entries("m")).alias("entries"))
+    sentence = F.concat(F.lit("Paid $"), total, F.lit(" million and Rs. "), F.col("o_orderkey").cast("string"), F.lit(" fee"))
+    # the white space after a number is part of its match, and so of what stands behind the placeholder
+    rows = _t(spark, sf_dir, "orders").select("o_orderkey", mask.mask_money(mask.unmasked(sentence)).alias("m"))
+    return rows.select("o_orderkey", F.col("m.text").alias("t"), _entries("m").alias("entries"))
 
 
 @query("""SELECT c_custkey, '__NOUN_0__ met New Delhi Police, and __NOUN_0__ paid ' || c_mktsegment AS t, '__NOUN_0__=Narendra Modi Roy' AS entries FROM customer""")
@@ -349,21 +358,21 @@ def mask_nouns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT doc_id, true AS same, md5(text) AS digest FROM documents")
 def unmask(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _t(spark, sf_dir, "documents").withColumn("m", mask.mask_nouns(mask.unmasked(F.col("text"))))
+    rows = _spread(_t(spark, sf_dir, "documents")).withColumn("m", mask.mask_nouns(mask.unmasked(F.col("text"))))
     back = mask.unmask(F.col("m.text"), F.col("m.entries"))
     return rows.select("doc_id", (back == F.col("text")).alias("same"), _md5(back).alias("digest"))
 
 
 @query()
 def mask_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _t(spark, sf_dir, "documents").select("doc_id", mask.unmasked(F.col("text")).alias("m"))
+    docs = _spread(_t(spark, sf_dir, "documents")).select("doc_id", mask.unmasked(F.col("text")).alias("m"))
     rows = docs.withColumn("m", mask.mask_terms(F.col("m")))
     return rows.select("doc_id", F.col("m.text").alias("t"), _entries("m").alias("entries"))
 
 
 @query()
 def mask_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = with_masks(_t(spark, sf_dir, "documents").select("doc_id", "text"), "text", "m")
+    rows = with_masks(_spread(_t(spark, sf_dir, "documents").select("doc_id", "text")), "text", "m")
     return rows.select("doc_id", F.col("m.text").alias("t"), _entries("m").alias("entries"))
 
 
@@ -496,7 +505,7 @@ def entity_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT doc_id, md5(text) AS digest, CAST(NULL AS VARCHAR) AS error FROM documents")
 def blob_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _t(spark, sf_dir, "documents").select("doc_id", inflate(deflate(F.col("text"))).alias("b"))
+    rows = _spread(_t(spark, sf_dir, "documents")).select("doc_id", inflate(deflate(F.col("text"))).alias("b"))
     return rows.select("doc_id", _md5(F.col("b.text")).alias("digest"), F.col("b.error").alias("error"))
 
 
@@ -504,6 +513,6 @@ def blob_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def translate_verify_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pending documents translated and judged, with the status that they get."""
     rows = _articles(spark, sf_dir).filter("translated_hi = 0 and text is not null").select("id", "title", F.col("text").alias("body"))
-    done = jobs.judged(rows, Lexicon(), {})
+    done = jobs.judged(_spread(rows), Lexicon(), {})
     status = F.when(F.col("error").isNull(), state.PUBLISHED).otherwise(state.PENDING)
     return done.select("id", "title_hi", "body_hi", "gates.number_ok", "gates.script_ok", F.left("error", F.lit(500)).alias("error"), status.alias("translated_hi"))
