@@ -1,7 +1,7 @@
 """python -m quillmill STEP --source ROOT --target ROOT: run a job over two stores.
 
 Steps: init, articles, timelines, entities, all, mine, reset. SHARD_ID, NUM_SHARDS and TRANSLATION_BATCH_SIZE give the
-defaults. Prints has_more=true or has_more=false; the exit status is 1 if a shard is out of range.
+defaults, SOURCE_TOKEN and TARGET_TOKEN the stores' tokens. Prints has_more=true or has_more=false; the exit status is 1 if a shard is out of range.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from quillmill.functions.values import BATCH, SAMPLE, SHARDS, TEST_BATCH, TOP
 from quillmill.operators import mining
 from quillmill.operators.nested import INCIDENTS
 from quillmill.plans import jobs
-from quillmill.plans.translate import Lexicon, Seq2Seq, Translator, translate_short
+from quillmill.plans.translate import Causal, Lexicon, Seq2Seq, Translator, translate_short
 from quillmill.sources import tables
 
 CATEGORIES = ("cabinet_ministers", "opposition_leaders", "state_chief_ministers", "generic_politicians")
@@ -58,12 +58,12 @@ def refresh_entities(spark: SparkSession, folder: str, translator: Translator, g
         return False
     old = tables.glossary(str(target)) if target.exists() else {}
     known, before = persons(spark, library, PERSON), persons(spark, old, PERSON + TRANSLATED)
-    # translate each distinct text once, and look it up in the merge
+    # each distinct text is translated once and comes back to the persons that have it
     texts = [F.array(*["name", "role", "party", "state", "constituency"]), *[F.transform(c, lambda x: x["incident_text"]) for c in INCIDENTS]]
-    each = known.select(F.explode(F.array_distinct(F.flatten(F.array(*texts)))).alias("t")).filter("t is not null").distinct()
-    spoken = {r["t"]: r["hi"] for r in translate_short(each, "t", "raw", translator).select("t", apply_glossary(F.col("raw"), glossary).alias("hi")).collect()}
-    table = F.create_map(*[F.lit(x) for pair in {**spoken, "": ""}.items() for x in pair])
-    rows = jobs.entities(known, before, lambda c: F.coalesce(F.try_element_at(table, c), c)).orderBy("category", "pos").collect()
+    each = known.select("category", "pos", F.explode(F.array_distinct(F.flatten(F.array(*texts)))).alias("t")).filter("t is not null")
+    spoken = translate_short(each.select("t").distinct(), "t", "raw", translator).select("t", apply_glossary(F.col("raw"), glossary).alias("hi"))
+    own = each.join(spoken, "t").groupBy("category", "pos").agg(F.map_from_entries(F.collect_list(F.struct("t", "hi"))).alias("spoken"))
+    rows = jobs.entities(known.join(own, ["category", "pos"], "left"), before, lambda c: F.coalesce(F.try_element_at(F.col("spoken"), c), c)).orderBy("category", "pos").collect()
     made = {c: [] for c in CATEGORIES}
     for r in rows:
         p = r.asDict(recursive=True)
@@ -84,21 +84,24 @@ def main(args: list[str] | None = None) -> int:
     parser.add_argument("--library", default="")
     parser.add_argument("--glossary", default="")
     parser.add_argument("--model", default="", help="a sequence-to-sequence model; the built-in lexicon without one")
+    parser.add_argument("--causal-model", default="", help="a causal chat model's file, in place of --model")
+    parser.add_argument("--scratch", default="", help="a folder for a batch's results; needed if the target is no folder")
     parser.add_argument("--shard", type=int, default=int(os.environ.get("SHARD_ID", 0)))
     parser.add_argument("--num-shards", type=int, default=int(os.environ.get("NUM_SHARDS", SHARDS)))
     parser.add_argument("--test-run", action="store_true")
     parser.add_argument("--yes", action="store_true", help="reset: really empty the tables")
     parser.add_argument("--report", default="", help="mine: where the report goes")
+    parser.add_argument("--candidates", default="", help="mine: where the candidates go as JSON")
     a = parser.parse_args(args)
     if not 0 <= a.shard < a.num_shards:
         print("has_more=false")
         return 1
     spark = SparkSession.builder.getOrCreate()
-    source, target = tables.Store(spark, a.source), tables.Store(spark, a.target)
+    source, target = (tables.open_store(spark, x, os.environ.get(f"{side}_TOKEN", "")) for side, x in (("SOURCE", a.source), ("TARGET", a.target)))
     glossary = tables.glossary(a.glossary) if a.glossary else {}
-    translator: Translator = Seq2Seq(a.model) if a.model else Lexicon()
+    translator: Translator = Causal(a.causal_model) if a.causal_model else Seq2Seq(a.model) if a.model else Lexicon()
     batch = TEST_BATCH if a.test_run else int(os.environ.get("TRANSLATION_BATCH_SIZE", BATCH))
-    options = jobs.Options(a.shard, a.num_shards, batch, glossary)
+    options = jobs.Options(a.shard, a.num_shards, batch, glossary, a.scratch)
     more, ok = False, True
     if a.step == "init":
         target.create()
@@ -115,9 +118,11 @@ def main(args: list[str] | None = None) -> int:
         sample = jobs.corpus_sample(texts, "id", "text", int(os.environ.get("GLOSSARY_SAMPLE", SAMPLE)))
         found = jobs.mine(sample, "text", translator, int(os.environ.get("GLOSSARY_TOP_N", TOP))).cache()
         text = mining.report(found, sample.count())
+        if a.candidates:
+            tables.write_document(a.candidates, mining.listed(found))
         Path(a.report).write_text(text, encoding="utf-8") if a.report else print(text)
     if a.step == "reset":
-        counts, done = jobs.reset(target, a.yes)
+        counts, done = jobs.reset(target, a.yes, source)
         for r in counts.collect():
             print(f"{r.table_name}: {r.n}")
         print("emptied" if done else "dry run; --yes empties the tables")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from quillmill.functions.values import CAPITAL_STOP_WORDS, DEVANAGARI, EDGE, TARGET_STOP_WORDS, NAME, NUMBER, TITLE_CHARS, WS
+from quillmill.functions.values import CAPITAL_STOP_WORDS, DEVANAGARI, EDGE, TARGET_STOP_WORDS, NAME, NUMBER, TITLE_CHARS, WS, WS_CHARS
 
 
 def filled(text: Column) -> Column:
@@ -14,7 +14,7 @@ def filled(text: Column) -> Column:
 
 def strip(text: Column) -> Column:
     """Without white space at both ends."""
-    return F.regexp_replace(text, f"^[{WS}]+|[{WS}]+$", "")
+    return F.btrim(text, F.lit(WS_CHARS))
 
 
 def strip_bold(text: Column) -> Column:
@@ -67,7 +67,7 @@ def title_fallback(body: Column, chars: int = TITLE_CHARS) -> Column:
 
 def title_trim(title: Column) -> Column:
     """Without quotes, dandas and blanks at both ends, then without white space."""
-    return strip(F.regexp_replace(filled(title), "^[\"'। ]+|[\"'। ]+$", ""))
+    return strip(F.btrim(filled(title), F.lit("\"'। ")))
 
 
 def quote_strip(text: Column) -> Column:

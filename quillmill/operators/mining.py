@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -29,6 +30,12 @@ def candidates(top: DataFrame, gloss: Callable[[Column], Column]) -> DataFrame:
     return glossed.select("token", "n", "gloss", suggested_latin(F.col("token"), F.col("gloss")).alias("suggest_latin"), looks_loan(F.col("token"), F.col("gloss")).alias("flag"))
 
 
+def listed(rows: DataFrame) -> list[dict[str, Any]]:
+    """Candidates by rank, as a JSON document's list; it is as long as its limit."""
+    found = ranked(rows).orderBy("rank").select("token", F.col("n").alias("freq"), "gloss", "suggest_latin", "flag").collect()
+    return [r.asDict() for r in found]
+
+
 def report_line(rank: Column, n: Column, token: Column, gloss: Column, latin: Column, flag: Column) -> Column:
     return F.concat(F.lit("| "), rank.cast("string"), F.lit(" | "), n.cast("string"), F.lit(" | "), token, F.lit(" | "), gloss, F.lit(" | "), latin, F.lit(" | "), F.when(flag, "✅").otherwise(""), F.lit(" |"))
 

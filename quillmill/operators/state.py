@@ -28,6 +28,12 @@ def pending(table: DataFrame, key: str, status: str, shard: int, shards: int, ba
     return rows.orderBy(F.desc(key)).limit(batch)
 
 
+def pending_by_sql(table: DataFrame, key: str, status: str, shard: int, shards: int, batch: int) -> DataFrame:
+    """pending() as a statement with positional parameters."""
+    sql = f"SELECT * FROM {{table}} WHERE {status} = ? AND {key} % ? = ? ORDER BY {key} DESC LIMIT ?"
+    return table.sparkSession.sql(sql, args=[PENDING, shards, shard, batch], table=table)
+
+
 def has_more(rows: DataFrame, batch: int) -> DataFrame:
     return rows.agg((F.count("*") >= batch).alias("has_more"))
 

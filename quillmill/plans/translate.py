@@ -63,13 +63,21 @@ class Seq2Seq:
         return tokenizer.batch_decode(made, skip_special_tokens=True)
 
 
+#: What a causal model is asked for, by task.
+PROMPTS = {
+    "body": "You translate news from English. Write this sentence in plain Hindi, in Devanagari. Keep every name, number and placeholder as it stands. Give the translation only.\n\n{text}\n\nHindi:",
+    "headline": "You write headlines. Put this one into short, natural Hindi, in Devanagari. Keep names, numbers and placeholders. Give one line, without quotes.\n\n{text}\n\nHindi:",
+    "back": "Translate this Hindi text into English, word by word where you can. Keep names and numbers. Give the translation only.\n\n{text}\n\nEnglish:",
+}
+
+
 class Causal:
     """A causal chat model in a local file, loaded once a worker. Its sampling makes results vary."""
 
     writes_names = True
 
-    def __init__(self, path: str, prompts: dict[str, str], context: int = 2048, tokens: int = 256, temperature: float = 0.2, top_p: float = 0.9):
-        self.path, self.prompts, self.context, self.tokens, self.temperature, self.top_p = path, prompts, context, tokens, temperature, top_p
+    def __init__(self, path: str, prompts: dict[str, str] | None = None, context: int = 2048, tokens: int = 256, temperature: float = 0.2, top_p: float = 0.9):
+        self.path, self.prompts, self.context, self.tokens, self.temperature, self.top_p = path, prompts or PROMPTS, context, tokens, temperature, top_p
         self._loaded = None
 
     def translate(self, texts: list[str], task: str) -> list[str]:

@@ -123,6 +123,11 @@ def event_batch_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return state.pending(_events(spark, sf_dir), "id", "translated_hi", SHARD, SHARDS_HERE, BATCH_HERE).select("id", "title")
 
 
+@query(f"SELECT id, title FROM ({_EVENTS}) WHERE translated_hi = 0 AND id % {SHARDS_HERE} = {SHARD} ORDER BY id DESC LIMIT {BATCH_HERE}")
+def parameter_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return state.pending_by_sql(_events(spark, sf_dir), "id", "translated_hi", SHARD, SHARDS_HERE, BATCH_HERE).select("id", "title")
+
+
 @query(
     f"SELECT c.conv_id AS event_id, c.turn AS article_id, c.text AS milestone FROM conversations c JOIN ({_EVENTS}) e ON c.conv_id = e.id "
     f"WHERE e.translated_hi = 0 AND c.conv_id % {SHARDS_HERE} = {SHARD} ORDER BY 1, 2 LIMIT {BATCH_HERE}"
@@ -181,7 +186,9 @@ def sentence_split_simple(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"SELECT doc_id, md5(array_to_string(s, ' ')) AS digest FROM (SELECT doc_id, {_SENTENCES} AS s FROM documents) WHERE length(s) > 0")
 def sentence_rejoin(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _spread(_t(spark, sf_dir, "documents")).select("doc_id", text.sentences(F.col("text")).alias("s")).filter(F.size("s") > 0)
+    rows = _spread(_t(spark, sf_dir, "documents"))
+    # texts without sentences are dropped in a generator, as a filter would cut each text twice
+    rows = rows.select("doc_id", F.explode(F.filter(F.array(text.sentences(F.col("text"))), lambda s: F.size(s) > 0)).alias("s"))
     return rows.select("doc_id", _md5(F.array_join("s", " ")).alias("digest"))
 
 

@@ -12,12 +12,12 @@ from quillmill.plans.translate import Translator
 from quillmill.sources.tables import Store
 
 
-def drain(run: Callable[[], bool], most: int = 1000) -> int:
-    """Run a job until it says that there is no more; how often it ran."""
-    for n in range(1, most + 1):
-        if not run():
-            return n
-    return most
+def drain(run: Callable[[], bool]) -> int:
+    """Run a job until it says that there is no more; how often it ran. A job must settle or give up each row some time."""
+    n = 1
+    while run():
+        n += 1
+    return n
 
 
 def work_queue(spark: SparkSession, folder: str, schema: str, checkpoint: str, source: Store, target: Store, translator: Translator, options: Options) -> StreamingQuery:
@@ -25,13 +25,12 @@ def work_queue(spark: SparkSession, folder: str, schema: str, checkpoint: str, s
 
     A micro-batch that is run again replaces the same keys, so the stream may be restarted at any point.
     """
-    from quillmill.operators.state import replace_by_key
-
     def handle(rows: DataFrame, _: int) -> None:
-        known = source.read("articles") if source.exists("articles") else rows.limit(0)
+        if not source.exists("articles"):
+            source.write("articles", rows.limit(0))
+        known = source.read("articles")
         # rows that are known keep their status
-        fresh = rows.dropDuplicates(["id"]).join(known.select("id"), "id", "left_anti").select(*known.columns)
-        source.write("articles", replace_by_key(known, fresh, ["id"], []))
+        source.upsert("articles", rows.dropDuplicates(["id"]).join(known.select("id"), "id", "left_anti").select(*known.columns), ["id"])
         drain(lambda: articles(source, target, translator, options))
 
     stream = spark.readStream.schema(schema).parquet(folder)

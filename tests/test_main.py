@@ -16,7 +16,9 @@ def test_steps(spark, tmp_path, capsys):
     capsys.readouterr()
     assert main(["articles", *stores]) == 0 and "has_more=true" in capsys.readouterr().out
     assert main(["articles", *stores]) == 0 and "has_more=false" in capsys.readouterr().out
-    assert main(["mine", *stores, "--report", str(tmp_path / "r.md")]) == 0 and "| 1 | 7 | " in (tmp_path / "r.md").read_text()
+    assert main(["mine", *stores, "--report", str(tmp_path / "r.md"), "--candidates", str(tmp_path / "c.json")]) == 0 and "| 1 | 7 | " in (tmp_path / "r.md").read_text()
+    listed = json.loads((tmp_path / "c.json").read_text())
+    assert set(listed[0]) == {"token", "freq", "gloss", "suggest_latin", "flag"} and listed[0]["freq"] == 7
     capsys.readouterr()
     assert main(["reset", *stores]) == 0 and "translations: 7" in capsys.readouterr().out
     assert main(["reset", *stores, "--yes"]) == 0
