@@ -6,6 +6,7 @@ lines and windows are found by a few numpy passes over that buffer instead of a
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -21,10 +22,13 @@ BROADCAST_BYTES = 64 << 20
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The session's spark.checkpoint.dir; only where that is unset (tests) a folder is made here."""
+    """The session's spark.checkpoint.dir. Where that is unset, a folder of this machine is made for a local master, and a cluster is refused: its executors could not share one."""
     context = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="checkpoint-"))
+        folder = context.getConf().get("spark.checkpoint.dir")
+        if not folder and not re.fullmatch(r"local(\[.*\])?", context.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoint-"))
     return context._jsc.sc().getCheckpointDir().get()
 
 
