@@ -1,5 +1,6 @@
 """The Jaccard join, repeated passages, fingerprints and revisits against brute force."""
 
+import gzip
 import hashlib
 import math
 import random
@@ -11,7 +12,10 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+from pyspark.sql import functions as F
+
 from quillmill.llm import base, fingerprints, jaccard, repeats, revisits
+from quillmill.llm import warc as archive
 
 
 def shingles(x):
@@ -324,4 +328,50 @@ def test_headers_are_merged(spark):
     assert got[2].headers == {"content-type": "html", "server": "s", "date": "new", "expires": "soon"}
     assert got[3].status == "resolved" and got[3].headers == records[0][6]
     assert revisits.resolve(spark.createDataFrame([], RECORDS)).count() == 0
-    assert revisits.resolved_pages(spark.createDataFrame([(1, None, None), (2, "a", None)], "page_id long, url string, html string")).count() == 2
+    assert revisits.resolved_pages(spark.createDataFrame([(1, None, None), (2, "a", None)], "page_id long, url string, html string")).count() == 4
+
+
+def test_repeated_records_and_clashing_columns(spark):
+    records = [(1, "a.b/x", 1, False, "t", None, {"date": "old"}, "d"), (1, "a.b/x", 1, False, "t", None, {"date": "old"}, "d"), (2, "a.b/x", 2, True, "t", None, {}, None), (2, "a.b/x", 2, True, "t", None, {}, None)]
+    made = spark.createDataFrame(records, RECORDS).select("*", *[F.lit("x").alias(c) for c in ("bucket", "response", "near", "far", "_url", "_bucket", "status", "url_key", "of")])
+    assert [(r.record_id, r.response_id, r.status) for r in revisits.resolve(made).collect()] == [(2, 1, "resolved")] * 2
+
+
+URLS = {
+    "http://a.b/x&y": "a.b/x&y", "a.b/x?utm_source=f&b=2&a=1": "a.b/x?a=1&b=2", "a.b/x?a=1&b=2#t": "a.b/x?a=1&b=2", "A.B/%7euser/%c3%a9/%zz%4": "a.b/~user/%C3%A9/%zz%4",
+    "a.b/x/?": "a.b/x", "a.b/?utm_x=1": "a.b", "a.b/x?utm_medium=q": "a.b/x", "https://www.a.b:443/x?&&k": "a.b/x?k", None: None, "": "", "a.b?x=/": "a.b?x=/",
+}
+
+
+def test_canonical_urls(spark):
+    df = spark.createDataFrame([(k, u) for k, u in enumerate(URLS)], "k int, u string")
+    assert [r[0] for r in df.orderBy("k").select(revisits.canonical_url(F.col("u"))).collect()] == list(URLS.values())
+
+
+def warc(kind, k, url, date, http, more=""):
+    head = f"WARC/1.0\r\nWARC-Type: {kind}\r\nWARC-Record-ID: <urn:uuid:{k}>\r\nWARC-Target-URI: {url}\r\nWARC-Date: {date}\r\nWARC-Payload-Digest: sha1:{k}\r\n{more}Content-Length: {len(http)}\r\n\r\n"
+    return (head + http + "\r\n\r\n").encode()
+
+
+def test_archive_files(spark, tmp_path):
+    profile = "WARC-Profile: http://netpreserve.org/warc/1.1/revisit/server-not-modified\r\n"
+    parts = [
+        b"WARC/1.0\r\nWARC-Type: warcinfo\r\nContent-Length: 3\r\n\r\nx: y\r\n\r\n",
+        warc("response", 1, "http://a.b/x", "2024-01-01T00:00:00Z", "HTTP/1.1 200 OK\r\nETag: \"t\"\r\nDate: old\r\nContent-Type: text/html;\r\n charset=utf-8\r\n\r\n<p>caf\u00e9: 1\r\n\r\nmore</p>"),
+        warc("request", 2, "http://a.b/x", "2024-01-01T00:00:01Z", "GET /x HTTP/1.1\r\n\r\n"),
+        warc("response", 3, "http://a.b/x", "2024-01-01T12:00:00.123456Z", "HTTP/1.1 404 Not Found\r\nETag: \"u\"\r\n\r\n"),
+        warc("revisit", 4, "http://a.b/x?utm_q=1", "2024-01-02T00:00:00Z", "HTTP/1.1 304 Not Modified\r\nEtag: \"t\"\r\nDate: new\r\n\r\n", profile),
+        warc("revisit", 5, "http://c.d/", "2024-01-02T00:00:00Z", "HTTP/1.1 304 Not Modified\r\nETag: \"t\"\r\n\r\n", profile + "WARC-Refers-To-Target-URI: http://a.b/x\r\n"),
+        warc("revisit", 6, "http://a.b/x", "2023-01-01T00:00:00Z", "HTTP/1.1 304 Not Modified\r\nETag: \"t\"\r\n\r\n", profile),
+        warc("revisit", 7, "http://a.b/x", "2024-01-03T00:00:00Z", "", "WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest\r\n"),
+    ]
+    (tmp_path / "one.warc").write_bytes(b"".join(parts))
+    (tmp_path / "two").mkdir()
+    (tmp_path / "two" / "a.warc.gz").write_bytes(b"".join(map(gzip.compress, parts)))
+    for path in (tmp_path / "one.warc", tmp_path / "two"):
+        got = revisits.resolve(archive.records(spark, str(path)))
+        rows = {r.record_id[-2]: (r.response_id, r.status, r.headers, r.digest) for r in got.collect()}
+        kept = {"etag": '"t"', "content-type": "text/html; charset=utf-8"}
+        assert rows == {"4": ("<urn:uuid:1>", "resolved", kept | {"date": "new"}, "sha1:1"), "5": ("<urn:uuid:1>", "resolved", kept | {"date": "old"}, "sha1:1"), "6": (None, "no response", None, None)}
+    (tmp_path / "none.warc").write_bytes(b"")
+    assert archive.records(spark, str(tmp_path / "none.warc")).count() == 0
