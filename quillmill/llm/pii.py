@@ -24,7 +24,9 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 KINDS = ("email", "ip", "card", "phone")
-LABELS = ("none", *KINDS)
+#: Kinds of spans: those of the base patterns, and credentials, which only the field finds.
+ALL_KINDS = (*KINDS, "secret")
+LABELS = ("none", *ALL_KINDS)
 #: A looser match becomes a span if its label has this probability or more.
 SURE = 0.9
 #: Messages have settled if none changes by more, in nats; from round DAMPED on they move half way, so that they settle in loops too.
@@ -46,7 +48,16 @@ _GROUPS = re.compile(r"(?<![A-Za-z0-9])\+?\(?[0-9](?:[\x20().,/-]{0,2}[0-9]){6,}
 _RUN = re.compile("[A-Za-z0-9._%+-]+")
 _TOUCHES = re.compile(r"[\w@]")
 _LOOSE_START, _LOOSE_END = re.compile("[%+]"), re.compile("[.%+]")
-_SPELT = re.compile(r"[A-Za-z0-9._%+-]{1,64}\s?(?:\(at\)|\[at\]|\bat\b|@)\s?[A-Za-z0-9-]{1,63}(?:\s?(?:\(dot\)|\[dot\]|\bdot\b|\.)\s?[A-Za-z0-9-]{1,63}){1,6}", re.IGNORECASE)
+_AT = re.compile(r"\s?(?:\(at\)|\[at\]|\bat\b)\s?", re.IGNORECASE)
+_SPELT_DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\s?(?:\(dot\)|\[dot\]|\bdot\b|\.)\s?[A-Za-z0-9-]+)+", re.IGNORECASE)
+#: Strings that may be credentials: what is assigned to a word for one, and long runs of letters and digits.
+_CREDENTIAL = "token|secret|password|passwd|pwd|api[_-]?key|access[_-]?key|private[_-]?key|credential|auth"
+_ASSIGNED = re.compile(rf"(?:{_CREDENTIAL})[\x20\t]?(?:=|:|=>)[\x20\t]?[\"']?([^\s\"',;]{{6,}})", re.IGNORECASE)
+_CODE = re.compile("[A-Za-z0-9_+/-]{16,}={0,2}")
+_LEADS = re.compile(rf"(?:{_CREDENTIAL})[\x20\t]?(?:=|:|=>)[\x20\t]?[\"']?$", re.IGNORECASE)
+_HEX = re.compile("[0-9a-fA-F]+")
+_TURN = re.compile("[A-Za-z](?=[0-9])|[0-9](?=[A-Za-z])")
+_ASSIGNMENT = re.compile("[=:]")
 _QUAD = re.compile(r"(?<![0-9])[0-9]{1,3}(?:\s?(?:\[\.\]|\(\.\)|\[dot\]|\(dot\))\s?[0-9]{1,3}){3}(?![0-9])", re.IGNORECASE)
 #: Digits of a looser match of one number, and shapes of numbers in rows of digit groups; shapes of 13 digits or more are cards.
 LEAST, MOST = 7, 19
@@ -57,7 +68,8 @@ CUES = {
     "card": ("card", "visa", "mastercard", "amex", "credit", "debit", "pan"),
     "email": ("mail", "e-mail", "email", "contact", "write"),
     "ip": ("ip", "host", "server", "address", "node"),
-    "none": ("order", "invoice", "ref", "id", "no", "isbn", "version", "serial", "case"),
+    "secret": ("token", "secret", "password", "passwd", "pwd", "key", "credential", "bearer", "auth"),
+    "none": ("order", "invoice", "ref", "id", "no", "isbn", "version", "serial", "case", "commit", "sha", "checksum", "hash", "digest"),
 }
 
 
@@ -108,7 +120,7 @@ def base_spans(text: str) -> list[Span]:
 
 
 def joined(spans: list[Span]) -> str:
-    return ",".join(f"{k}:{a}:{b}" for k, a, b in sorted(spans, key=lambda s: (KINDS.index(s[0]), s[1], s[2])))
+    return ",".join(f"{k}:{a}:{b}" for k, a, b in sorted(spans, key=lambda s: (ALL_KINDS.index(s[0]), s[1], s[2])))
 
 
 # ---------------------------------------------------------------- nodes and edges
@@ -122,6 +134,8 @@ def _key(kind: str, text: str) -> str:
         return "m" + plain.replace(" ", "")
     if kind == "name":
         return "n" + text.lower()
+    if kind == "secret":
+        return "s" + text
     digits = _digits(text)
     return "d" + (digits[-8:] if kind == "groups" else ".".join(re.findall("[0-9]+", text)))
 
@@ -155,6 +169,24 @@ def _mentions(text: str, names: set[str]) -> Iterator[tuple[int, int]]:
                     break
 
 
+def _spelt(text: str) -> Iterator[tuple[int, int]]:
+    """Written-out mail addresses: from each word for @ to the left as far as a name goes, to the right over all parts."""
+    last = 0
+    for at in _AT.finditer(text):
+        start = at.start()
+        while start > last and text[start - 1] in _LOCAL:
+            start -= 1
+        domain = _SPELT_DOMAIN.match(text, at.end()) if start < at.start() else None
+        if domain and re.search(r"\bdot\b|[(\[]at[)\]]", at[0] + domain[0], re.IGNORECASE):
+            last = domain.end()
+            yield start, last
+
+
+def _mixed(x: str) -> bool:
+    """Whether a code has letters and digits, several times next to each other, as random ones have and words have not."""
+    return len(_TURN.findall(x)) >= 3
+
+
 def candidates(text: str, base: list[Span]) -> list[tuple[int, int, str, str, str]]:
     """(start, end, base kind or "", form, key) in the order of the text; looser matches don't overlap base spans."""
     out = [(a, b, kind, form := {"email": "spelt", "ip": "quad"}.get(kind, "groups"), _key(form, text[a:b])) for kind, a, b in base]
@@ -174,15 +206,22 @@ def candidates(text: str, base: list[Span]) -> list[tuple[int, int, str, str, st
         if "[.]" in text or "(.)" in text or "dot" in low:
             loose += [(*m.span(), "quad") for m in _QUAD.finditer(text)]
     if "(at)" in low or "[at]" in low or ("dot" in low and " at " in low):
-        loose += [(*m.span(), "spelt") for m in _SPELT.finditer(text) if "@" not in m[0] and re.search(r"\bdot\b|[(\[]at[)\]]", m[0], re.IGNORECASE)]
+        loose += [(a, b, "spelt") for a, b in _spelt(text)]
     names = {text[a:b].partition("@")[0].lower() for kind, a, b in base if kind == "email"}
     names = {x for x in names if len(x) >= 6 and re.search("[0-9._-]", x)}
     if names:
         loose += [(a, b, "name") for a, b in _mentions(text, names)]
+    if _DIGIT.search(text):
+        loose += [(*m.span(), "secret") for m in _CODE.finditer(text) if _mixed(m[0])]
+    assigned = {m.span(1) for m in _ASSIGNED.finditer(text)} if _ASSIGNMENT.search(text) else set()
+    loose += [(a, b, "secret") for a, b in assigned]
     last = -1
-    for a, b, form in sorted(loose):
+    # of matches from one place the longest, so that what is assigned is not cut
+    for a, b, form in sorted(loose, key=lambda x: (x[0], -x[1], x[2])):
         if a >= last and free(a, b):
-            out.append((a, b, "", form, _key(form, text[a:b])))
+            # a code that is assigned to a word for a credential is one, as base spans are what they are
+            sure = "secret" if (a, b) in assigned and _mixed(text[a:b]) else ""
+            out.append((a, b, sure, form, _key(form, text[a:b])))
             last = b
     return sorted(out)
 
@@ -260,7 +299,11 @@ def _worded(x: str, a: int, b: int) -> Iterator[tuple[int, int]]:
             k += n
 
 
-FEATURES = 32
+#: Places of features: the words before a node, and what tells of a credential.
+CUE, SECRET = 22, 28
+#: What a known label weighs, in nats.
+KNOWN = 30.0
+FEATURES = 33
 
 
 def node_features(text: str, node: tuple[int, int, str, str, str]) -> np.ndarray:
@@ -268,10 +311,16 @@ def node_features(text: str, node: tuple[int, int, str, str, str]) -> np.ndarray
     x, out = text[a:b], np.zeros(FEATURES)
     n = len(_digits(x))
     out[0] = 1
-    if kind:
+    if kind in KINDS:
         out[1 + KINDS.index(kind)] = 1
     else:
-        out[5 + ("groups", "quad", "spelt", "name").index(form)] = 1
+        if form == "secret":
+            out[SECRET] = 1
+            out[SECRET + 1] = a > 0 and text[a - 1] in "\"'"
+            out[SECRET + 2] = bool(_LEADS.search(text, max(0, a - 24), a))
+            out[SECRET + 3], out[SECRET + 4] = bool(_HEX.fullmatch(x)), _mixed(x)
+        else:
+            out[5 + ("groups", "quad", "spelt", "name").index(form)] = 1
         if form == "groups":
             out[9 + int(np.searchsorted([9, 10, 11, 13, 16, 17, 20], n, "right"))] = 1
             out[17] = 13 <= n <= 19 and luhn(_digits(x))
@@ -280,7 +329,7 @@ def node_features(text: str, node: tuple[int, int, str, str, str]) -> np.ndarray
     before = text[max(0, a - 24) : a].lower()
     words = set(re.findall("[a-z-]+", before)[-3:])
     for k, cues in enumerate(CUES.values()):
-        out[22 + k] = not words.isdisjoint(cues)
+        out[CUE + k] = not words.isdisjoint(cues)
     return out
 
 
@@ -292,7 +341,7 @@ def edges(nodes: list[tuple[int, int, str, str, str]], features: np.ndarray) ->
     of their own (base form, cue, or a neighbour with one), and one of the others: a hundred mentions that tell nothing
     do not outvote the one that does.
     """
-    told = np.array([bool(x[2]) for x in nodes]) | features[:, 22:].any(1)
+    told = np.array([bool(x[2]) for x in nodes]) | features[:, CUE : CUE + len(CUES)].any(1)
     near = [(j - 1, j) for j in range(1, len(nodes)) if nodes[j][0] - nodes[j - 1][1] <= NEAR]
     loud = told.copy()
     for i, j in near:
@@ -328,6 +377,9 @@ class Field:
         There are as many rounds as nodes at most: by then a message has crossed any path.
         """
         own = features @ self.unary
+        for k in range(len(KINDS)):  # base spans and assigned credentials are what they are
+            own[features[:, 1 + k] > 0, 1 + k] += KNOWN
+        own[(features[:, SECRET + 2] > 0) & (features[:, SECRET + 4] > 0), LABELS.index("secret")] += KNOWN
         if len(links):
             i, j, kind = np.concatenate([links, links[:, [1, 0, 2]]]).T  # both ways
             back = np.concatenate([np.arange(len(links)) + len(links), np.arange(len(links))])
@@ -383,8 +435,15 @@ def _example(rng: random.Random) -> tuple[str, list[tuple[int, int, str]]]:
             name = rng.choice(words) + rng.choice("._-") + number(2)
             host, end = rng.choice(words), rng.choice(["com", "org", "net"])
             proper, loose = f"{name}@{host}.{end}", [f"{name} (at) {host}.{end}", f"{name} [at] {host} [dot] {end}", f"{name} at {host} dot {end}", name]
+        elif kind == "secret":
+            x = "".join(rng.choice(signs) for signs in [rng.choice(["0123456789abcdef", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"])] for _ in range(rng.choice([20, 24, 32, 40, 64])))
+            word = rng.choice(["token", "secret", "password", "api_key", "access-key", "pwd"])
+            proper, loose = rng.choice([f'{word} = "{x}"', f"{word}={x}", f"{word}: {x}", f"{word} = '{x}'"]), [x, f'"{x}"']
+        elif rng.random() < 0.3:
+            x = "".join(rng.choice("0123456789abcdef") for _ in range(rng.choice([32, 40, 64])))
+            proper, loose = rng.choice([x, f'"{x}"', f"sha256:{x}", f'commit = "{x}"']), [x]
         else:
-            x = number(rng.choice([7, 8, 9, 10, 11, 12, 14, 16, 18, 22]))
+            x = number(rng.choice([7, 8, 9, 10, 10, 10, 11, 11, 11, 12, 14, 16, 18, 22]))
             proper, loose = x, [x, f"{x[:4]}-{x[4:]}", f"{x[:3]}/{x[3:]}"]
         forms = [proper] * (rng.random() < 0.7 or kind == "none") + [rng.choice(loose) for _ in range(rng.randrange(0, 3))]
         rng.shuffle(forms)
@@ -392,8 +451,8 @@ def _example(rng: random.Random) -> tuple[str, list[tuple[int, int, str]]]:
         for form in forms:
             if told:
                 pieces.append((rng.choice(CUES[kind]), "none"))
-            elif form == name and proper not in forms:
-                continue  # nothing tells that it is an address
+            elif (form == name or kind == "secret") and proper not in forms:
+                continue  # nothing tells that it is an address or a credential
             pieces.append((form, kind))
             filler(rng.randrange(2, 12))
     text, spans = "", []
@@ -412,12 +471,13 @@ def examples(n: int, seed: int) -> Iterator[tuple[str, list, list[tuple[int, int
         text, spans = _example(rng)
         nodes = candidates(text, base_spans(text))
         if nodes:
-            truth = [next((LABELS.index(k) for a, b, k in spans if a < node[1] and node[0] < b), 0) for node in nodes]
+            # base spans stay, so each is what its pattern says
+            truth = [LABELS.index(node[2]) if node[2] else next((LABELS.index(k) for a, b, k in spans if a < node[1] and node[0] < b), 0) for node in nodes]
             yield text, nodes, edges(nodes, np.array([node_features(text, x) for x in nodes])), np.array(truth)
 
 
 @functools.cache
-def train(n: int = 1500, seed: int = 7, steps: int = 300) -> Field:
+def train(n: int = 2000, seed: int = 7, steps: int = 300) -> Field:
     """A field fitted to made-up texts by pseudo-likelihood: each label given its features and its neighbours' true labels."""
     rows, around, truth = [], [], []
     for text, nodes, links, labels in examples(n, seed):
@@ -433,14 +493,17 @@ def train(n: int = 1500, seed: int = 7, steps: int = 300) -> Field:
     beside = np.concatenate(around)
     unary, pair = np.zeros((FEATURES, len(LABELS))), np.zeros((2, len(LABELS), len(LABELS)))
     goal = np.eye(len(LABELS))[y]
-    rate = 4.0
+    rate, keep = 1.0, 0.9
+    moves = [np.zeros_like(unary), np.zeros_like(pair)]
     for _ in range(steps):
         score = x @ unary + np.einsum("nkl,klm->nm", beside, pair)
         p = np.exp(score - score.max(1, keepdims=True))
         gap = (p / p.sum(1, keepdims=True) - goal) / len(y)
-        unary -= rate * (x.T @ gap + 2e-5 * unary)
         step = np.einsum("nkl,nm->klm", beside, gap) + 2e-5 * pair
-        pair -= rate * (step + step.transpose(0, 2, 1)) / 2
+        moves[0] = keep * moves[0] - rate * (x.T @ gap + 2e-5 * unary)
+        moves[1] = keep * moves[1] - rate * (step + step.transpose(0, 2, 1)) / 2
+        unary += moves[0]
+        pair += moves[1]
     return Field(unary, pair)
 
 
@@ -455,6 +518,7 @@ def find(texts: list[str], field: Field) -> list[tuple[list[Span], list[Span]]]:
         base = base_spans(text)
         out.append((base, list(base)))
         nodes = candidates(text, base)
+        out[-1][1].extend(("secret", a, b) for a, b, kind, *_ in nodes if kind == "secret")
         if len(nodes) > sum(1 for x in nodes if x[2]):  # there is something to decide
             own = [node_features(text, x) for x in nodes]
             rows += own
@@ -473,8 +537,9 @@ def find(texts: list[str], field: Field) -> list[tuple[list[Span], list[Span]]]:
 def personal_data(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans for each row of docs.
 
-    The counts and the digest are of base spans, spans holds all as kind:start:end. Null texts are empty: no spans,
-    and the digest of nothing. Repeated rows get equal results. An empty table gives no rows. Other columns aren't read.
+    The counts and the digest are of base spans, spans holds all as kind:start:end, with secrets, which only the field
+    finds, after the four kinds of base spans. Null texts are empty: no spans, and the digest of nothing. Texts are read
+    whole, in time linear in their length. Repeated rows get equal results. An empty table gives no rows. Other columns aren't read.
     """
     field = docs.sparkSession.sparkContext.broadcast(train())
 

@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -86,6 +87,27 @@ def test_same_rows_as_sql(spark, sf_dir, name):
     assert rows_of_query(queries.QUERIES[name](spark, sf_dir)) == rows_of_sql(connection(sf_dir), queries.ORACLES[name])
 
 
+def test_published_licences_in_any_wrapping(spark):
+    got = {r.doc_id: (r.licence or "", r.wanted) for r in licences.scanned_variants(spark).collect()}
+    assert all(a == b for a, b in got.values()) and sum(b != "" for _, b in got.values()) > 50
+    one_line = "MIT License Copyright (c) 2020 Jane Doe " + " ".join(licences.TEXTS[0][1].split())
+    split_there = licences.TEXTS[0][1].replace("AUTHORS OR\nCOPYRIGHT", "AUTHORS\nOR COPYRIGHT")
+    without = licences.TEXTS[0][1].replace("COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR", "")
+    rows = licences.scan(spark.createDataFrame([(1, one_line), (2, split_there), (3, without)], "doc_id int, text string")).collect()
+    assert [r.licence for r in sorted(rows, key=lambda r: r.doc_id)] == ["MIT", "MIT", None]
+
+
+def test_long_licences_from_their_files(spark):
+    files = {"Apache-2.0": "Apache-2.0", "GPL-2": "GPL-2.0", "GPL-3": "GPL-3.0", "LGPL-2.1": "LGPL-2.1", "LGPL-3": "LGPL-3.0", "MPL-2.0": "MPL-2.0", "CC0-1.0": "CC0-1.0"}
+    there = [(name, Path("/usr/share/common-licenses", f)) for f, name in files.items()]
+    texts = [(name, p.read_text()) for name, p in there if p.exists()]
+    if not texts:
+        pytest.skip("no licence files on this machine")
+    rows = [(x, name) for name, x in texts] + [(" ".join(x.split()), name) for name, x in texts if "Copyright" not in x] + [(x.replace("[yyyy] [name of copyright owner]", "2020 Jane Doe"), name) for name, x in texts]
+    got = licences.scan(spark.createDataFrame([(k, x) for k, (x, _) in enumerate(rows)], "doc_id int, text string")).collect()
+    assert [r.licence for r in sorted(got, key=lambda r: r.doc_id)] == [name for _, name in rows]
+
+
 def test_licences(spark, odd, clashing, empty):
     mit = licences.TEXTS[0][1]
     changed = "Copyright (c) 2020 Somebody\n\n" + mit.replace("sublicense", "sub-licence").upper().replace(",", " ,")
@@ -183,6 +205,30 @@ def test_other_long_matches_are_cut_or_given_whole():
     assert got("+1 555-123-4567 555-987-6543, 5551234567") == ["+1 555-123-4567", "555-987-6543", "5551234567"]
 
 
+def test_secrets_and_their_distant_mentions():
+    far, code, other = " it is. " + "some words here stone river. " * 20, "9f86d081884c7d659a2feaa0c55ad015a3bf4f1b", "2c26b46b68ffc68ff99b453c1d30413413422d70"
+    for form in ('token = "{}"', "api_key: {}", "PASSWORD={}", "secret = '{}'"):
+        text = code + far + form.format(code) + far + f"commit {other} it is" + far + code + far + other
+        _, all_ = pii.find([text], pii.train())[0]
+        assert {text[a:b] for k, a, b in all_ if k == "secret"} == {code} and len([x for x in all_ if x[0] == "secret"]) == 3
+    plain = ["a-long-word-with-many-parts and_another_long_word_here", f"commit {other} sha256 {code}", "the key = value of it: nothing"]
+    assert all(all_ == [] for _, all_ in pii.find(plain, pii.train()))
+
+
+def test_secrets_of_documents(spark):
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").filter("text like '%token = \"%'").collect()]
+    assert len(rows) > 5
+    for _, text in rows:
+        wanted = {m.span(1) for m in re.finditer('token = "([0-9a-f]{40})"', text)}
+        assert {(a, b) for k, a, b in pii.find([text], pii.train())[0][1] if k == "secret"} == wanted
+
+
+@pytest.mark.parametrize("n", [10, 64, 65, 500])
+def test_written_out_addresses_of_any_length(n):
+    text = "mail " + "a1" * n + " (at) " + "h" * n + " dot " + " dot ".join(["part"] * n) + " dot org, thanks"
+    assert [text[a:b] for kind, a, b in pii.find([text], pii.train())[0][1] if kind == "email"] == [text[5:-8]]
+
+
 def test_names_are_found_however_many_there_are():
     for n in (999, 1000, 1001, 2500):
         text = " ".join(f"user.{k}@site.org" for k in range(n)) + " then USER.7 and user.998, not xuser.5 or user.5-x"
