@@ -243,7 +243,7 @@ def compare_next(docs: DataFrame, counts: np.ndarray | None = None, doc_id: str
 
     A document's next one is that with the next lower id, after the lowest the highest; null ids come last. Rows with
     one id are in the order of a hash of their texts. The edited text has its last floor(n_chars / 2) characters
-    replaced by as many (or all) of the next text's first. Null texts are empty. A lone document is its own next. An
+    replaced by as many (or all) of the next text's first. Null texts are empty, very long ones are read whole. A lone document is its own next. An
     empty table gives no rows. Other columns of docs aren't read.
     """
     spark = docs.sparkSession

@@ -108,7 +108,8 @@ def mix_plan(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), most: floa
 
     Sizes are words, 0 for null or empty text. A null source is a source of its own, the last. A source of size 0
     has the rate 0. Repeated rows are rows of their own and share one draw. An empty table gives an empty plan.
-    Reruns agree: draws are hashes of (doc_id, text, source, seed). Other columns of docs aren't read.
+    Very long texts count whole. Reruns agree: draws are hashes of (doc_id, text, source, seed). As the seed is the one
+    of several whose total comes nearest the target, a copy's probability is only about the fraction. Other columns of docs aren't read.
     """
     slim = checkpoint(docs.select(F.col(doc_id).alias("doc_id"), *_keyed(docs, doc_id, text, source)))  # numbers: the texts are read once
     out = _with_sources(slim, _rates(slim.drop("doc_id"), weights, most)).withColumn("copies", _copies())
@@ -116,7 +117,10 @@ def mix_plan(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), most: floa
 
 
 def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), most: float = 3.0, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
-    """docs with each row as often as mix_plan says, all its columns as they are; rows without copies are absent."""
+    """docs with each row as often as mix_plan says, all its columns as they are; rows without copies are absent.
+
+    Nulls, empty texts, repeated rows and empty tables as in mix_plan; very long texts are rows like others.
+    """
     rates = _rates(checkpoint(docs.select(*_keyed(docs, doc_id, text, source))), weights, most)
     whole = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"), *_keyed(docs, doc_id, text, source))
     out = _with_sources(whole, rates).withColumn("copies", _copies()).filter("copies > 0")

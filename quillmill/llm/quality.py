@@ -169,6 +169,10 @@ def quality(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, do
 
 
 def keep_quality(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of docs that quality() keeps, with all their columns, whatever these are called."""
+    """The rows of docs that quality() keeps, with all their columns, whatever these are called.
+
+    Null, empty and short texts go, as base_failed; very long ones are judged whole. Repeated rows are judged alike. An
+    empty table gives no rows; without labels all that the base rules leave is kept.
+    """
     marked = _scored(docs, docs.columns, _ratios(docs, labels, doc_id, text), threshold, text)
     return marked.filter("kept").select(*[F.col(f"_{i}").alias(c) for i, c in enumerate(docs.columns)])

@@ -423,7 +423,7 @@ def repeated_spans(docs: DataFrame, least: int = LEAST, gram: int = GRAM, doc_id
 def remove_repeats(docs: DataFrame, least: int = LEAST, gram: int = GRAM, doc_id: str = "doc_id", text: str = "text", with_kept: bool = False) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 (and kept, binary, if with_kept) for each row of docs.
 
-    Null texts are empty. Rows with a null doc_id lose nothing. Repeated rows are treated alike. What remains may
+    Null texts are empty, very long ones are read whole, an empty table gives no rows. Rows with a null doc_id lose nothing. Repeated rows are treated alike. What remains may
     not be valid UTF-8, as bytes are removed, so kept is binary.
     """
     spans = repeated_spans(docs, least, gram, doc_id, text)

@@ -323,7 +323,10 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, doc_id: str =
 
 
 def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, held_out, score, predicted for each row of docs. Null texts are empty and get the model's share of toxic texts without features."""
+    """doc_id, held_out, score, predicted for each row of docs. Null texts are empty and get the model's share of toxic texts without features.
+
+    Very long texts are scored whole. Repeated rows and equal texts get equal scores. An empty table gives no rows.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)  # FEATURES weights and CLASSES ** 3 costs
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
