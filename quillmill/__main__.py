@@ -85,6 +85,7 @@ def main(args: list[str] | None = None) -> int:
     parser.add_argument("--glossary", default="")
     parser.add_argument("--model", default="", help="a sequence-to-sequence model; the built-in lexicon without one")
     parser.add_argument("--causal-model", default="", help="a causal chat model's file, in place of --model")
+    parser.add_argument("--language", default="", help="the causal model's target language, by its English name")
     parser.add_argument("--scratch", default="", help="a folder for a batch's results; needed if the target is no folder")
     parser.add_argument("--shard", type=int, default=int(os.environ.get("SHARD_ID", 0)))
     parser.add_argument("--num-shards", type=int, default=int(os.environ.get("NUM_SHARDS", SHARDS)))
@@ -93,13 +94,15 @@ def main(args: list[str] | None = None) -> int:
     parser.add_argument("--report", default="", help="mine: where the report goes")
     parser.add_argument("--candidates", default="", help="mine: where the candidates go as JSON")
     a = parser.parse_args(args)
+    if a.causal_model and not a.language:
+        parser.error("--causal-model needs --language")
     if not 0 <= a.shard < a.num_shards:
         print("has_more=false")
         return 1
     spark = SparkSession.builder.getOrCreate()
     source, target = (tables.open_store(spark, x, os.environ.get(f"{side}_TOKEN", "")) for side, x in (("SOURCE", a.source), ("TARGET", a.target)))
     glossary = tables.glossary(a.glossary) if a.glossary else {}
-    translator: Translator = Causal(a.causal_model) if a.causal_model else Seq2Seq(a.model) if a.model else Lexicon()
+    translator: Translator = Causal(a.causal_model, a.language) if a.causal_model else Seq2Seq(a.model) if a.model else Lexicon()
     batch = TEST_BATCH if a.test_run else int(os.environ.get("TRANSLATION_BATCH_SIZE", BATCH))
     options = jobs.Options(a.shard, a.num_shards, batch, glossary, a.scratch)
     more, ok = False, True

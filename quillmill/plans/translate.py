@@ -65,9 +65,9 @@ class Seq2Seq:
 
 #: What a causal model is asked for, by task.
 PROMPTS = {
-    "body": "You translate news from English. Write this sentence in plain Hindi, in Devanagari. Keep every name, number and placeholder as it stands. Give the translation only.\n\n{text}\n\nHindi:",
-    "headline": "You write headlines. Put this one into short, natural Hindi, in Devanagari. Keep names, numbers and placeholders. Give one line, without quotes.\n\n{text}\n\nHindi:",
-    "back": "Translate this Hindi text into English, word by word where you can. Keep names and numbers. Give the translation only.\n\n{text}\n\nEnglish:",
+    "body": "You translate news from English. Write this sentence in plain {language}, in its own script. Keep every name, number and placeholder as it stands. Give the translation only.\n\n{text}\n\n{language}:",
+    "headline": "You write headlines. Put this one into short, natural {language}, in its own script. Keep names, numbers and placeholders. Give one line, without quotes.\n\n{text}\n\n{language}:",
+    "back": "Translate this {language} text into English, word by word where you can. Keep names and numbers. Give the translation only.\n\n{text}\n\nEnglish:",
 }
 
 
@@ -76,8 +76,8 @@ class Causal:
 
     writes_names = True
 
-    def __init__(self, path: str, prompts: dict[str, str] | None = None, context: int = 2048, tokens: int = 256, temperature: float = 0.2, top_p: float = 0.9):
-        self.path, self.prompts, self.context, self.tokens, self.temperature, self.top_p = path, prompts or PROMPTS, context, tokens, temperature, top_p
+    def __init__(self, path: str, language: str, prompts: dict[str, str] | None = None, context: int = 2048, tokens: int = 256, temperature: float = 0.2, top_p: float = 0.9):
+        self.path, self.language, self.prompts, self.context, self.tokens, self.temperature, self.top_p = path, language, prompts or PROMPTS, context, tokens, temperature, top_p
         self._loaded = None
 
     def translate(self, texts: list[str], task: str) -> list[str]:
@@ -86,7 +86,7 @@ class Causal:
 
             self._loaded = Llama(model_path=self.path, n_ctx=self.context, verbose=False)
         options = {"max_tokens": self.tokens, "temperature": self.temperature, "top_p": self.top_p, "echo": False}
-        made = [self._loaded(self.prompts[task].format(text=x), **options)["choices"][0]["text"].strip() for x in texts]
+        made = [self._loaded(self.prompts[task].format(text=x, language=self.language), **options)["choices"][0]["text"].strip() for x in texts]
         return [re.sub("^[\"']|[\"']$", "", x) for x in made]
 
 

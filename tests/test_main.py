@@ -1,9 +1,14 @@
 """The command line."""
 
 import json
+import sys
+import types
 import zlib
 
+import pytest
+
 from quillmill.__main__ import main
+from quillmill.plans.translate import Causal
 from quillmill.sources.tables import Store
 
 
@@ -38,3 +43,22 @@ def test_entities(spark, tmp_path):
     assert new["name"] == "New" and made["metadata"] == {"v": 2} and made["india"]["states"] == ["x"]
     (tmp_path / "entities.json").write_text("{broken")
     assert main(args) == 1
+
+
+def test_causal_model_is_asked_by_task(monkeypatch):
+    asked = []
+
+    class Llama:
+        def __init__(self, **options):
+            assert options["n_ctx"] == 2048
+
+        def __call__(self, prompt, **options):
+            asked.append(prompt)
+            return {"choices": [{"text": " 'made' "}]}
+
+    monkeypatch.setitem(sys.modules, "llama_cpp", types.SimpleNamespace(Llama=Llama))
+    model = Causal("m.gguf", "Sanskrit")
+    assert [model.translate(["said {x}"], task) for task in ("body", "headline", "back")] == [["made"]] * 3
+    assert all("said {x}" in p and "Sanskrit" in p for p in asked) and len(set(asked)) == 3
+    with pytest.raises(SystemExit):
+        main(["articles", "--source", "a", "--target", "b", "--causal-model", "m.gguf"])
