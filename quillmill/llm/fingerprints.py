@@ -2,7 +2,8 @@
 
 A feature is a window of WINDOW bytes. Windows are ranked by how rare their entropy is among all documents'
 windows; in every stretch of SPAN windows the rarest is popular, and windows popular often enough are features.
-Features are put into Bloom filters of BITS bits, PER_FILTER to each, in order: the chain is the fingerprint. Two
+Texts of fewer than SHORT bytes have few such features, so they have finer ones besides: windows of FINE_WINDOW bytes,
+ranked and chosen in the same way. Features are put into Bloom filters of BITS bits, PER_FILTER to each, in order: the chain is the fingerprint. Two
 fingerprints are compared by the filters' common bits, normalised by what chance gives.
 """
 
@@ -22,28 +23,31 @@ from pyspark.sql import functions as F
 from quillmill.llm.base import bounded_batches, flat, mix, shuffle_partitions
 
 WINDOW, SPAN, POPULAR = 32, 32, 8
+FINE_WINDOW, FINE_SPAN, FINE_POPULAR, SHORT = 8, 4, 1, 512
 BITS, PER_FILTER, HASHES = 2048, 160, 5
-#: Steps of entropy, from 0 to log2(WINDOW) bits.
+#: Of texts to a task, and the most ranges of ids; beyond both, tasks get larger.
+TASK_BYTES, MOST_BUCKETS = 64 << 20, 1 << 14
+#: Steps of entropy, from 0 to as many bits as a window can have.
 STEPS = 1024
 _CHUNK, _HELD = 1 << 17, 500_000
 _GAIN = np.array([0.0, *[c * np.log2(c) if c else 0.0 for c in range(WINDOW + 1)]])
 _GAIN = np.round((_GAIN[2:] - _GAIN[1:-1]) * (1 << 16)).astype(np.int64)  # of one more of a byte, by how many there are
 
 
-def entropies(data: np.ndarray) -> np.ndarray:
-    """The entropy of the WINDOW bytes from each place, in STEPS steps.
+def entropies(data: np.ndarray, window: int = WINDOW) -> np.ndarray:
+    """The entropy of the window bytes (WINDOW at most) from each place, in STEPS steps.
 
     A window's sum of c * log2(c) over its byte counts c changes by a gain and a loss when it moves on; how many equal
     bytes are in the window before and after each place comes from comparing the buffer with itself, shifted.
     """
-    n = len(data) - WINDOW + 1
+    n = len(data) - window + 1
     if n <= 0:
         return np.zeros(0, np.int32)
     before, after = np.zeros(len(data), np.uint8), np.zeros(len(data), np.uint8)
     for a in range(0, len(data), _CHUNK):  # pieces that stay in cache
         b = min(len(data), a + _CHUNK)
         own = data[a:b]
-        for shift in range(1, WINDOW):
+        for shift in range(1, window):
             low = max(a - shift, 0) + shift  # first place with one that far before it
             if low < b:
                 before[low:b] += data[low:b] == data[low - shift : b - shift]
@@ -52,10 +56,10 @@ def entropies(data: np.ndarray) -> np.ndarray:
                 after[a:high] += own[: high - a] == data[a + shift : high + shift]
     sums = np.zeros(n, np.int64)
     # the first window, byte by byte; there `before` counts no byte outside it
-    sums[0] = _GAIN[before[:WINDOW]].sum()
-    sums[1:] = _GAIN[before[WINDOW:]] - _GAIN[after[: n - 1]]
+    sums[0] = _GAIN[before[:window]].sum()
+    sums[1:] = _GAIN[before[window:]] - _GAIN[after[: n - 1]]
     np.cumsum(sums, out=sums)
-    top = int(WINDOW * np.log2(WINDOW) * (1 << 16))
+    top = int(window * np.log2(window) * (1 << 16))
     return ((top - sums) * (STEPS - 1) // top).clip(0, STEPS - 1).astype(np.int32)
 
 
@@ -69,66 +73,85 @@ def _inside(offsets: np.ndarray, n: int, width: int) -> np.ndarray:
 
 
 def entropy_counts(docs: DataFrame, text: str = "text") -> np.ndarray:
-    """How many windows of all texts have each entropy: STEPS numbers, summed in tasks before they are gathered."""
+    """How many windows of all texts have each entropy: two rows of STEPS numbers, of WINDOW and of FINE_WINDOW bytes, summed in tasks before they are gathered."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(STEPS, np.int64)
+        total = np.zeros((2, STEPS), np.int64)
         for batch in batches:
             for part in _parts(batch, [0]):
                 data, offsets = flat(part.column(0))
-                e = entropies(data)
-                total += np.bincount(e[_inside(offsets, len(e), WINDOW)], minlength=STEPS)
+                for row, window in zip(total, (WINDOW, FINE_WINDOW), strict=True):
+                    e = entropies(data, window)
+                    row += np.bincount(e[_inside(offsets, len(e), window)], minlength=STEPS)
         found = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(found.astype(np.int32)), pa.array(total[found])], ["step", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(found.astype(np.int32)), pa.array(total.ravel()[found])], ["step", "n"])
 
-    out = np.zeros(STEPS, np.int64)
+    out = np.zeros(2 * STEPS, np.int64)
     for step, n in docs.select(F.col(text).cast("string")).mapInArrow(run, "step int, n long").groupBy("step").agg(F.sum("n")).collect():
         out[step] = n
-    return out
+    return out.reshape(2, STEPS)
 
 
 def ranks(counts: np.ndarray) -> np.ndarray:
-    """The rank of each entropy, the rarest first, equal counts by the higher entropy; the lowest tenth of the scale last: runs of one byte say little."""
-    order = np.lexsort((-np.arange(STEPS), counts))
-    out = np.empty(STEPS, np.int64)
-    out[order] = np.arange(STEPS)
-    out[: STEPS // 10] = STEPS
+    """The rank of each entropy by row, the rarest first, equal counts by the higher entropy; the lowest tenth of the scale last: runs of one byte say little."""
+    out = np.empty(counts.shape, np.int64)
+    for row, own in zip(out, counts, strict=True):
+        row[np.lexsort((-np.arange(STEPS), own))] = np.arange(STEPS)
+    out[:, : STEPS // 10] = STEPS
     return out
 
 
-def features(data: np.ndarray, offsets: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The texts and hashes of their features, in order. A text shorter than a window is one feature; an empty one has none."""
-    e = entropies(data)
+def _popular(data: np.ndarray, offsets: np.ndarray, rank: np.ndarray, window: int, span: int, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The texts, places and hashes of windows that are the rarest in `least` stretches of `span` windows; span is a power of two.
+
+    A text without one has its rarest window, one shorter than a window none.
+    """
+    e = entropies(data, window)
     owners, places = np.zeros(0, np.int64), np.zeros(0, np.int64)
     if len(e):
         key = rank[e] << 40 | np.arange(len(e))  # of equal ranks the leftmost
         # stretches lie in one text; in texts of fewer windows than a stretch, the whole text is one
-        low, span = key, 1
-        while span < SPAN:
-            low = np.minimum(low[:-span], low[span:]) if len(low) > span else low[:0]
-            span *= 2
-        ok = _inside(offsets, len(low), WINDOW + SPAN - 1)
+        low, size = key, 1
+        while size < span:
+            low = np.minimum(low[:-size], low[size:]) if len(low) > size else low[:0]
+            size *= 2
+        ok = _inside(offsets, len(low), window + span - 1)
         chosen = (low & ((1 << 40) - 1))[ok]
         new = np.append(True, chosen[1:] != chosen[:-1])[: len(chosen)]
         first = np.flatnonzero(new)
-        popular = chosen[first][np.diff(np.append(first, len(chosen))) >= POPULAR]
+        popular = chosen[first][np.diff(np.append(first, len(chosen))) >= least]
         popular = popular[rank[e[popular]] < STEPS]
         owners, places = np.searchsorted(offsets, popular, "right") - 1, popular
-    # texts without a feature get their rarest window, or all their bytes
     sizes = np.diff(offsets)
     has = np.zeros(len(sizes), bool)
     has[owners] = True
-    lone = np.flatnonzero(~has & (sizes >= WINDOW))
-    least = np.array([int(key[offsets[i] : offsets[i + 1] - WINDOW + 1].min() & ((1 << 40) - 1)) for i in lone], np.int64)
-    owners, places = np.append(owners, lone), np.append(places, least)
-    words = np.lib.stride_tricks.sliding_window_view(data, WINDOW)[places].copy().view(np.uint64) if len(places) else np.zeros((0, WINDOW // 8), np.uint64)
+    lone = np.flatnonzero(~has & (sizes >= window))
+    rarest = np.array([int(key[offsets[i] : offsets[i + 1] - window + 1].min() & ((1 << 40) - 1)) for i in lone], np.int64)
+    owners, places = np.append(owners, lone), np.append(places, rarest)
+    words = np.lib.stride_tricks.sliding_window_view(data, window)[places].copy().view(np.uint64) if len(places) else np.zeros((0, window // 8), np.uint64)
     hashes = np.zeros(len(places), np.uint64)
-    for k in range(WINDOW // 8):
+    for k in range(window // 8):
         hashes = mix(hashes * np.uint64(0x9E3779B97F4A7C15) + words[:, k])
-    short = np.flatnonzero((sizes > 0) & (sizes < WINDOW))
-    small = np.array([int.from_bytes(hashlib.blake2b(data[offsets[i] : offsets[i + 1]].tobytes(), digest_size=8).digest(), "little") for i in short], np.uint64)
-    owners, hashes, places = np.append(owners, short), np.append(hashes, small), np.append(places, offsets[short])
-    order = np.lexsort((places, owners))
+    return owners, places, hashes
+
+
+def features(data: np.ndarray, offsets: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The texts and hashes of their features, in order: those of WINDOW bytes, then a short text's finer ones.
+
+    A text shorter than the smallest window is one feature; an empty one has none.
+    """
+    found = [_popular(data, offsets, rank[0], WINDOW, SPAN, POPULAR)]
+    sizes = np.diff(offsets)
+    fine = np.flatnonzero((sizes >= FINE_WINDOW) & (sizes < SHORT))
+    own = np.append(0, np.cumsum(sizes[fine]))
+    owners, places, hashes = _popular(data[np.repeat(offsets[fine] - own[:-1], sizes[fine]) + np.arange(own[-1])], own, rank[1], FINE_WINDOW, FINE_SPAN, FINE_POPULAR)
+    found.append((fine[owners], places, hashes))
+    tiny = np.flatnonzero((sizes > 0) & (sizes < FINE_WINDOW))
+    small = np.array([int.from_bytes(hashlib.blake2b(data[offsets[i] : offsets[i + 1]].tobytes(), digest_size=8).digest(), "little") for i in tiny], np.uint64)
+    found.append((tiny, np.zeros(len(tiny), np.int64), small))
+    level = np.repeat(np.arange(3), [len(x[0]) for x in found])
+    owners, places, hashes = (np.concatenate(x) for x in zip(*found, strict=True))
+    order = np.lexsort((places, level, owners))
     return owners[order], hashes[order]
 
 
@@ -210,29 +233,29 @@ def fingerprint(docs: DataFrame, counts: np.ndarray | None = None, doc_id: str =
 # ---------------------------------------------------------------- each document, its edited text and its neighbour
 
 
-def in_order(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+def in_order(docs: DataFrame, doc_id: str, text: str, buckets: int) -> DataFrame:
     """bucket, guest, doc_id, text: documents in buckets of descending id, each with the document that follows its last one.
 
-    Bounds are ids, about evenly spread, from an approximate percentile: a few hundred numbers. Every bound starts a
+    Bounds are ids, about evenly spread, from an approximate percentile: `buckets` numbers. Every bound starts a
     bucket and is copied, as a guest, to the bucket before it; the first of all is the guest of the last bucket. So
     each document meets its successor in its own bucket, and no task holds more than a bucket.
     """
-    partitions = shuffle_partitions(docs.sparkSession)
-    n = max(128, 2 * partitions)
-    shares = [k / n for k in range(1, n + 1)]
+    shares = [k / buckets for k in range(1, buckets + 1)]
     some = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    found = some.agg(F.percentile_approx("doc_id", shares, 20 * n), F.max("doc_id")).first()
+    found = some.agg(F.percentile_approx("doc_id", shares, 20 * buckets), F.max("doc_id")).first()
     bounds = np.array(sorted({*(found[0] or []), *([found[1]] if found[1] is not None else [])}, reverse=True), np.int64)
     if not len(bounds):  # no document with an id: all are one bucket
         return some.select(F.lit(0).alias("bucket"), F.explode(F.array(F.lit(False), F.lit(True))).alias("guest"), "doc_id", "text")
     last, rising = len(bounds) - 1, bounds[::-1].copy()
 
-    def bucket_of(ids: pd.Series) -> pd.Series:
-        return pd.Series(last - np.searchsorted(rising, ids.to_numpy(), "left"), dtype="int32")
+    def place_of(ids: pd.Series) -> pd.Series:
+        """Twice the bucket, and one more for a bound."""
+        at = np.searchsorted(rising, ids.to_numpy(), "left")
+        return pd.Series(2 * (last - at) + (rising[at] == ids.to_numpy()), dtype="int32")
 
-    bucket = F.pandas_udf(bucket_of, "int")(F.coalesce("doc_id", F.lit(int(rising[0]))))  # null ids come last, in the last bucket
+    place = F.pandas_udf(place_of, "int")(F.coalesce("doc_id", F.lit(int(rising[0]))))  # null ids come last, in the last bucket
     host = F.when(F.col("bucket") == 0, F.lit(last)).otherwise(F.col("bucket") - 1)
-    placed = some.withColumn("bucket", bucket).withColumn("starts", F.coalesce(F.col("doc_id").isin(rising.tolist()), F.lit(False)))
+    placed = some.withColumn("place", place).withColumn("bucket", F.shiftright("place", 1)).withColumn("starts", F.col("doc_id").isNotNull() & (F.col("place") % 2 == 1))
     own = F.struct(F.col("bucket"), F.lit(False).alias("guest"))
     both = F.when(F.col("starts"), F.array(own, F.struct(host.alias("bucket"), F.lit(True).alias("guest")))).otherwise(F.array(own))
     return placed.withColumn("at", F.explode(both)).select("at.bucket", "at.guest", "doc_id", "text")
@@ -248,9 +271,12 @@ def compare_next(docs: DataFrame, counts: np.ndarray | None = None, doc_id: str
     """
     spark = docs.sparkSession
     bounded_batches(spark)
-    rank = spark.sparkContext.broadcast(ranks(entropy_counts(docs, text) if counts is None else counts))
+    counts = entropy_counts(docs, text) if counts is None else counts
+    rank = spark.sparkContext.broadcast(ranks(counts))
+    # two buckets or more a task; bounds and their percentile are kept on the driver, so they have an end
+    partitions = min(MOST_BUCKETS // 2, max(64, shuffle_partitions(spark), int(counts[0].sum()) // TASK_BYTES))
     order = [F.col("bucket"), F.col("guest"), F.desc_nulls_last("doc_id"), F.xxhash64("text"), F.col("text")]
-    dealt = in_order(docs, doc_id, text).repartition(shuffle_partitions(spark), "bucket").sortWithinPartitions(*order)
+    dealt = in_order(docs, doc_id, text, 2 * partitions).repartition(partitions, "bucket").sortWithinPartitions(*order)
     schema = pa.schema([("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edited_sha256", pa.string()), ("fingerprint", pa.string()), ("edited_fingerprint", pa.string()), ("near_edited", pa.float64()), ("near_next", pa.float64())])
 
     def compared(rows: list[tuple[int, bool, int | None, str]]) -> pa.RecordBatch:

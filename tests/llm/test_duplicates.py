@@ -257,6 +257,41 @@ def test_features_do_not_depend_on_the_batch(documents):
         assert fingerprints.likeness(chain, chain) == 1.0
 
 
+@pytest.mark.parametrize(("window", "span", "least"), [(32, 32, 8), (8, 4, 1)])
+def test_popular_windows(documents, window, span, least):
+    texts = [r.text for r in documents.limit(12).collect()] + ["", "short", "eight by", "x" * 90, "ab" * 60]
+    texts = [x.encode()[:700].decode(errors="ignore") for x in texts]
+    rank = fingerprints.ranks(fingerprints.entropy_counts(documents))[int(window == 8)]
+    owners, places, _ = fingerprints._popular(*base.flat(pa.array(texts)), rank, window, span, least)
+    expected, start = [], 0
+    for i, x in enumerate(map(str.encode, texts)):
+        own = [rank[k] for k in fingerprints.entropies(np.frombuffer(x, np.uint8), window)]
+        wins = Counter(min(range(k, k + span), key=lambda j: (own[j], j)) for k in range(len(own) - span + 1))
+        found = sorted(j for j, n in wins.items() if n >= least and own[j] < fingerprints.STEPS)
+        if not found and own:
+            found = [min(range(len(own)), key=lambda j: (own[j], j))]
+        expected += [(i, start + j) for j in found]
+        start += len(x)
+    assert sorted(zip(owners.tolist(), places.tolist(), strict=True)) == expected
+
+
+def test_short_texts_are_like_their_edits(spark):
+    rng = random.Random(5)
+    rows = [(i, " ".join("".join(rng.choices("abcdefghijklmnoprstu", k=rng.randrange(1, 10))) for _ in range(1 + i % 20))) for i in range(300)]
+    near = {r.doc_id: r for r in fingerprints.compare_next(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(near[i].near_edited > 0 for i, x in rows if len(x) >= 40) and np.mean([near[i].near_edited for i, x in rows if len(x) >= 40]) > 0.3
+    assert max(r.near_next for r in near.values()) < 0.4
+
+
+def test_buckets_change_no_result(spark, documents, odd, monkeypatch):
+    for docs in (documents, odd):
+        default = sorted(map(str, fingerprints.compare_next(docs).collect()))
+        monkeypatch.setattr(fingerprints, "TASK_BYTES", 1 << 11)
+        monkeypatch.setattr(fingerprints, "MOST_BUCKETS", 200)
+        assert sorted(map(str, fingerprints.compare_next(docs).collect())) == default
+        monkeypatch.undo()
+
+
 def neighbours(texts):
     """(id, text, next text) in descending order of ids."""
     order = sorted(texts, key=lambda r: -r[0])
