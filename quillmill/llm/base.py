@@ -164,10 +164,13 @@ def windows(hashes: np.ndarray, n: int) -> np.ndarray:
     return mix(out)
 
 
-def bounded_batches(spark: SparkSession, size: int = 32 << 20) -> None:
-    """Arrow batches of `size` bytes at most from here on, unless the session has a bound of its own."""
+def bounded_batches(spark: SparkSession, size: int = 8 << 20) -> None:
+    """Arrow batches of `size` bytes or one row at most from here on, unless the session has a bound of its own.
+
+    A batch's buffers stand in the JVM and, copied, in its Python worker, doubled as they grow.
+    """
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
-    if int(spark.conf.get(key, str(2**31 - 1))) >= 2**31 - 1:
+    if spark.conf.get(key, "1") == "1":  # no one's bound
         spark.conf.set(key, str(size))
 
 

@@ -86,6 +86,7 @@ def entropy_counts(docs: DataFrame, text: str = "text") -> np.ndarray:
         found = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(found.astype(np.int32)), pa.array(total.ravel()[found])], ["step", "n"])
 
+    bounded_batches(docs.sparkSession)
     out = np.zeros(2 * STEPS, np.int64)
     for step, n in docs.select(F.col(text).cast("string")).mapInArrow(run, "step int, n long").groupBy("step").agg(F.sum("n")).collect():
         out[step] = n
@@ -217,6 +218,7 @@ def fingerprint(docs: DataFrame, counts: np.ndarray | None = None, doc_id: str =
     counts: entropy_counts of the corpus; counted from docs if not given. Fingerprints that are to be compared need
     the same counts. Equal texts have equal fingerprints.
     """
+    bounded_batches(docs.sparkSession)
     rank = docs.sparkSession.sparkContext.broadcast(ranks(entropy_counts(docs, text) if counts is None else counts))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

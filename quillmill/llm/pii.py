@@ -23,6 +23,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
+from quillmill.llm.base import bounded_batches
+
 KINDS = ("email", "ip", "card", "phone")
 #: Kinds of spans: those of the base patterns, and credentials, which only the field finds.
 ALL_KINDS = (*KINDS, "secret")
@@ -541,6 +543,7 @@ def personal_data(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     finds, after the four kinds of base spans. Null texts are empty: no spans, and the digest of nothing. Texts are read
     whole, in time linear in their length. Repeated rows get equal results. An empty table gives no rows. Other columns aren't read.
     """
+    bounded_batches(docs.sparkSession)
     field = docs.sparkSession.sparkContext.broadcast(train())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -569,6 +572,7 @@ def redacted(text: str, spans: list[Span]) -> str:
 
 def redact(docs: DataFrame, text: str = "text", n_chars: str = "n_chars") -> DataFrame:
     """docs with personal data replaced in its texts, all columns as they were; n_chars, if there, is counted again. Null texts stay null."""
+    bounded_batches(docs.sparkSession)
     field = docs.sparkSession.sparkContext.broadcast(train())
     at = docs.columns.index(text)
     schema = to_arrow_schema(docs.schema)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from quillmill.llm.base import Words, flat, mix, per_text, prefix_sums, slices, small_enough, span_hashes, windows
+from quillmill.llm.base import Words, bounded_batches, flat, mix, per_text, prefix_sums, slices, small_enough, span_hashes, windows
 
 #: Hash buckets of the multinomials.
 BUCKETS = 1 << 16
@@ -102,6 +102,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def gram_counts(docs: DataFrame, text: str = "text") -> np.ndarray:
     """Counts of the hashed 4-grams of all texts: summed in each task, then by bucket; BUCKETS numbers reach the driver."""
+    bounded_batches(docs.sparkSession)
     parts = docs.select(F.col(text).cast("string")).mapInArrow(_count, "bucket int, n long")
     out = np.zeros(BUCKETS, np.float64)
     for bucket, n in parts.groupBy("bucket").agg(F.sum("n")).collect():
@@ -127,6 +128,7 @@ def trusted_texts(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", te
 
 def _scored(docs: DataFrame, carried: list[str], ratios: np.ndarray, threshold: float, text: str) -> DataFrame:
     """The carried columns as _0, _1 and so on, then the results."""
+    bounded_batches(docs.sparkSession)
     table = docs.sparkSession.sparkContext.broadcast(ratios)  # BUCKETS numbers, whatever the input
     picked = docs.select(*[F.col(c).alias(f"_{i}") for i, c in enumerate(carried)], F.col(text).cast("string").alias("_text"))
     kind = StructType(picked.schema.fields[:-1])

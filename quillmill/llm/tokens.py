@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from quillmill.llm.base import slices
+from quillmill.llm.base import bounded_batches, slices
 
 CAPACITY = 1024
 #: Attention cost of a piece of n tokens: LINEAR * n + QUADRATIC * n * n.
@@ -137,6 +137,7 @@ def pack(docs: DataFrame, encoding: Callable[[], Callable[[list[str]], list[np.n
         if held:
             yield done()
 
+    bounded_batches(docs.sparkSession)
     return picked.mapInArrow(run, kind)
 
 

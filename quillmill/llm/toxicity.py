@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillmill.llm.base import Words, flat, prefix_sums, slices, span_hashes
+from quillmill.llm.base import Words, bounded_batches, flat, prefix_sums, slices, span_hashes
 
 #: Labelled documents that the model is fitted on at most: those with the smallest hashes of their ids.
 SAMPLE = 8000
@@ -72,6 +72,7 @@ def trigram_counts(docs: DataFrame, text: str = "text") -> np.ndarray:
         found = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(found.astype(np.int32)), pa.array(total[found])], ["trigram", "n"])
 
+    bounded_batches(docs.sparkSession)
     out = np.zeros(CLASSES**3)
     for code, n in docs.select(F.col(text).cast("string")).mapInArrow(run, "trigram int, n long").groupBy("trigram").agg(F.sum("n")).collect():
         out[code] = n
@@ -327,6 +328,7 @@ def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "te
 
     Very long texts are scored whole. Repeated rows and equal texts get equal scores. An empty table gives no rows.
     """
+    bounded_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # FEATURES weights and CLASSES ** 3 costs
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
