@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import pandas as pd
 import regex
@@ -75,17 +75,16 @@ Phase = Callable[[str, int], tuple[str, list[str]]]
 def _masked_in_python(mask: Column, phases: list[Phase]) -> Column:
     """The phases by Arrow batches: as expressions, each name and term of a text would cost a pattern and a copy of the text."""
 
-    def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        for texts, starts in batches:
-            out, found = [], []
-            for x, start in zip(texts, starts, strict=True):
-                originals: list[str] = []
-                for phase in phases:
-                    x, more = phase(x, start + len(originals))
-                    originals += more
-                out.append(x)
-                found.append(originals)
-            yield pd.DataFrame({"text": out, "originals": found})
+    def run(texts: pd.Series, starts: pd.Series) -> pd.DataFrame:
+        out, found = [], []
+        for x, start in zip(texts, starts, strict=True):
+            originals: list[str] = []
+            for phase in phases:
+                x, more = phase(x, start + len(originals))
+                originals += more
+            out.append(x)
+            found.append(originals)
+        return pd.DataFrame({"text": out, "originals": found})
 
     made = F.pandas_udf(run, "text string, originals array<string>")(mask["text"], mask["next"])
     # one row's struct, so that the function is called once

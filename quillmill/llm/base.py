@@ -17,6 +17,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quillmill.functions.batches import bounded_batches  # noqa: F401
+
 #: The largest side that is broadcast, in bytes as estimated from its rows.
 BROADCAST_BYTES = 64 << 20
 
@@ -164,16 +166,6 @@ def windows(hashes: np.ndarray, n: int) -> np.ndarray:
     return mix(out)
 
 
-def bounded_batches(spark: SparkSession, size: int = 8 << 20) -> None:
-    """Arrow batches of `size` bytes or one row at most from here on, unless the session has a bound of its own.
-
-    A batch's buffers stand in the JVM and, copied, in its Python worker, doubled as they grow.
-    """
-    key = "spark.sql.execution.arrow.maxBytesPerBatch"
-    if spark.conf.get(key, "1") == "1":  # no one's bound
-        spark.conf.set(key, str(size))
-
-
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

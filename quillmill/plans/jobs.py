@@ -18,7 +18,7 @@ from quillmill.functions.text import target_tokens, simple_sentences, strip, str
 from quillmill.functions.values import BATCH, MAX_ATTEMPTS, SAMPLE, SHARDS, TEST_BATCH, TOP
 from quillmill.operators import mining, state
 from quillmill.operators.nested import refresh
-from quillmill.plans.translate import Translator, translate_back, translate_body, translate_short
+from quillmill.plans.translate import Translator, translate_all, translate_back, translate_short
 from quillmill.sources.codec import deflate, inflate
 from quillmill.sources.tables import SCHEMAS, Store, open_store
 
@@ -50,7 +50,7 @@ def judged(rows: DataFrame, translator: Translator, glossary: dict[str, str]) ->
     A body that fails a gate, or is empty, fails the row; a title that fails is replaced by the body's beginning. The
     glossary is for translators that don't write names themselves. The back-translation is computed only for those.
     """
-    out = translate_short(translate_body(rows, "body", "body_raw", translator), "title", "title_raw", translator)
+    out = translate_all(rows, translator, {"body": "body_raw"}, {"title": "title_raw"})
     back = None if translator.writes_names else translate_back(translator, F.col("body_raw"))
     if back is not None:
         out = out.withColumn("back", back)

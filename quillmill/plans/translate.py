@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
 from typing import Protocol
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quillmill.functions.batches import bounded_batches, by_batches
 from quillmill.functions.mask import mask_money, mask_nouns_and_terms, mask_times, unmask, unmasked
 from quillmill.functions.text import quote_strip, sentences, strip, strip_bold
 
@@ -91,23 +91,20 @@ class Causal:
 
 
 def _called(translator: Translator, task: str, text: Column) -> Column:
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for texts in batches:
-            yield pd.Series(translator.translate([x or "" for x in texts], task))
+    def run(texts: pd.Series) -> pd.Series:
+        return pd.Series(translator.translate([x or "" for x in texts], task))
 
-    return F.pandas_udf(run, "string")(text)
+    return by_batches(run, "string")(text)
 
 
 def _called_by_sentence(translator: Translator, task: str, parts: Column) -> Column:
     """Each row's sentences translated and joined again, in their order; no shuffle."""
 
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for rows in batches:
-            lists = [list(x) for x in rows]
-            made = iter(translator.translate([s for x in lists for s in x], task))
-            yield pd.Series([" ".join(next(made) for _ in x) for x in lists])
+    def run(rows: pd.Series) -> pd.Series:
+        made = iter(translator.translate([s for x in rows for s in x], task))
+        return pd.Series([" ".join(next(made) for _ in x) for x in rows])
 
-    return F.pandas_udf(run, "string")(parts)
+    return by_batches(run, "string")(parts)
 
 
 def mask_all(text: Column) -> Column:
@@ -117,24 +114,45 @@ def mask_all(text: Column) -> Column:
 
 def with_masks(df: DataFrame, text: str, out: str) -> DataFrame:
     """df with a mask column. Each phase is a column of its own, as its text is read more than once."""
-    df = df.withColumn(out, unmasked(F.col(text)))
+    return _with_all_masks(df, {text: out})
+
+
+def _with_all_masks(df: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """df with a mask column for each text column; a phase of all of them in one pass."""
+    bounded_batches(df.sparkSession)
+    df = df.withColumns({out: unmasked(F.col(text)) for text, out in columns.items()})
     for phase in (mask_times, mask_money, mask_nouns_and_terms):
-        df = df.withColumn(out, phase(F.col(out)))
+        df = df.withColumns({out: phase(F.col(out)) for out in columns.values()})
     return df
 
 
+def translate_all(df: DataFrame, translator: Translator, bodies: dict[str, str], shorts: dict[str, str]) -> DataFrame:
+    """df with the translations of text columns, each under its new name.
+
+    Bodies are masked whole, cut into sentences, translated and unmasked; short texts are translated in one piece, empty
+    for empty. All columns are masked in one Python pass and translated in another, so a task holds two workers.
+    """
+    plain = {text: f"_{out}_plain" for text, out in shorts.items()}
+    df = df.withColumns({new: strip_bold(strip(F.coalesce(F.col(text), F.lit("")))) for text, new in plain.items()}) if shorts else df
+    df = _with_all_masks(df, {text: f"_{out}_mask" for text, out in bodies.items()} | {plain[text]: f"_{out}_mask" for text, out in shorts.items()})
+    raw = {out: _called_by_sentence(translator, "body", sentences(F.col(f"_{out}_mask.text"))) for out in bodies.values()}
+    raw |= {out: _called(translator, "headline", F.col(f"_{out}_mask.text")) for out in shorts.values()}
+    df = df.withColumns({f"_{out}_raw": column for out, column in raw.items()})
+    made = {out: unmask(F.col(f"_{out}_raw"), F.col(f"_{out}_mask.entries")) for out in bodies.values()}
+    for out in shorts.values():
+        whole = unmask(quote_strip(F.col(f"_{out}_raw")), F.col(f"_{out}_mask.entries"))
+        made[out] = F.when(F.col(f"_{out}_plain") == "", "").otherwise(whole)
+    return df.withColumns(made).drop(*plain.values(), *[f"_{out}_{x}" for out in made for x in ("mask", "raw")])
+
+
 def translate_body(df: DataFrame, text: str, out: str, translator: Translator) -> DataFrame:
     """df with the translation of text: masked whole, cut into sentences, translated, unmasked."""
-    df = with_masks(df, text, f"_{out}_mask").withColumn(f"_{out}_raw", _called_by_sentence(translator, "body", sentences(F.col(f"_{out}_mask.text"))))
-    return df.withColumn(out, unmask(F.col(f"_{out}_raw"), F.col(f"_{out}_mask.entries"))).drop(f"_{out}_mask", f"_{out}_raw")
+    return translate_all(df, translator, {text: out}, {})
 
 
 def translate_short(df: DataFrame, text: str, out: str, translator: Translator) -> DataFrame:
     """df with the translation of a short text, in one piece; empty for empty."""
-    df = df.withColumn(f"_{out}_plain", strip_bold(strip(F.coalesce(F.col(text), F.lit("")))))
-    df = with_masks(df, f"_{out}_plain", f"_{out}_mask").withColumn(f"_{out}_raw", _called(translator, "headline", F.col(f"_{out}_mask.text")))
-    whole = unmask(quote_strip(F.col(f"_{out}_raw")), F.col(f"_{out}_mask.entries"))
-    return df.withColumn(out, F.when(F.col(f"_{out}_plain") == "", "").otherwise(whole)).drop(f"_{out}_plain", f"_{out}_mask", f"_{out}_raw")
+    return translate_all(df, translator, {}, {text: out})
 
 
 def translate_back(translator: Translator, text: Column) -> Column:
