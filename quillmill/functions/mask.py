@@ -15,6 +15,7 @@ import regex
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from quillmill.functions.batches import by_batches
 from quillmill.functions.text import filled
 from quillmill.functions.values import CAPITAL_STOP_WORDS, EDGE, MONEY, NEWS_TERMS, NOUNS, TIME, WS
 
@@ -86,7 +87,7 @@ def _masked_in_python(mask: Column, phases: list[Phase]) -> Column:
             found.append(originals)
         return pd.DataFrame({"text": out, "originals": found})
 
-    made = F.pandas_udf(run, "text string, originals array<string>")(mask["text"], mask["next"])
+    made = by_batches(run, "text string, originals array<string>")(mask["text"], mask["next"])
     # one row's struct, so that the function is called once
     return F.transform(F.array(made), lambda m: _joined(mask, m))[0]
 

@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillmill.functions.batches import bounded_batches  # noqa: F401
+from quillmill.functions import batches
 
 #: The largest side that is broadcast, in bytes as estimated from its rows.
 BROADCAST_BYTES = 64 << 20
@@ -166,6 +166,11 @@ def windows(hashes: np.ndarray, n: int) -> np.ndarray:
     return mix(out)
 
 
+def bounded_batches(spark: SparkSession, size: int = 8 << 20) -> None:
+    """As in batches.py; operators that work on whole batches take larger ones."""
+    batches.bounded_batches(spark, size)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -1,14 +1,18 @@
 """What a Python worker holds: batches bounded in bytes, and few passes a task."""
 
+import sys
+
 import pytest
 from pyspark.sql import functions as F
 
 from quillmill import queries as core
+from quillmill.functions import mask
+from quillmill.functions.batches import bounded_batches
 from quillmill.plans.jobs import judged
 from quillmill.plans.translate import Lexicon, translate_all, translate_body, translate_short
 
-KEY, MOST = "spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20
-ROWS, CHARS = 1500, 10_000
+KEY, MOST = "spark.sql.execution.arrow.maxBytesPerBatch", 2 << 20
+ROWS, CHARS = 500, 10_000
 
 
 @pytest.fixture
@@ -22,10 +26,19 @@ def unbounded(spark):
 
 @pytest.fixture
 def long_texts(unbounded):
-    """15 MB in one partition, in fewer rows than Spark's own bound on a batch."""
+    """5 MB in one partition, in fewer rows than Spark's own bound on a batch."""
     return unbounded.range(0, ROWS, 1, 1).select(F.concat(F.col("id").cast("string"), F.lit(" "), F.repeat(F.lit("zq "), CHARS // 3 + 1)).alias("t"))
 
 
+def test_the_last_size_holds_but_not_over_a_sessions_own(unbounded):
+    for size in (MOST, 8 << 20, MOST):
+        bounded_batches(unbounded, size)
+        assert unbounded.conf.get(KEY) == str(size)
+    unbounded.conf.set(KEY, "3m")
+    bounded_batches(unbounded)
+    assert unbounded.conf.get(KEY) == "3m"
+
+
 def sizes():
     """A translator of texts into the size of the batch that they came in; made here, so that it travels by value."""
 
@@ -56,3 +69,12 @@ def test_columns_translated_together_and_apart(spark):
     at_once = translate_all(rows, Lexicon(), {"a": "x", "b": "y"}, {"b": "z"})
     assert at_once.columns == apart.columns and sorted(map(repr, at_once.collect())) == sorted(map(repr, apart.collect()))
     assert judged(rows.selectExpr("i as id", "a as title", "b as body"), Lexicon(), {}).count() == len(said) ** 2
+
+
+def test_batches_of_masks_are_bounded(long_texts):
+    def batch_size(text, start):
+        return str(sum(map(len, sys._getframe(1).f_locals["texts"]))), []  # of the batch that the text came in
+
+    made = mask._masked_in_python(mask.unmasked(F.col("t")), [batch_size])
+    most = long_texts.select(made["text"].cast("long").alias("n")).agg(F.max("n")).first()[0]
+    assert CHARS < most <= MOST + 2 * CHARS
