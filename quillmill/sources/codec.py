@@ -6,7 +6,8 @@ import zlib
 
 import pandas as pd
 from pyspark.sql import Column
-from pyspark.sql import functions as F
+
+from quillmill.functions.batches import by_batches
 
 
 def _inflate_one(blob: object) -> tuple[str | None, str | None]:
@@ -24,11 +25,11 @@ def inflate(blob: Column) -> Column:
     def run(blobs: pd.Series) -> pd.DataFrame:
         return pd.DataFrame([_inflate_one(b) for b in blobs], columns=["text", "error"])
 
-    return F.pandas_udf(run, "text string, error string")(blob)
+    return by_batches(run, "text string, error string")(blob)
 
 
 def deflate(text: Column) -> Column:
     def run(texts: pd.Series) -> pd.Series:
         return texts.map(lambda x: None if x is None else zlib.compress(x.encode()))
 
-    return F.pandas_udf(run, "binary")(text)
+    return by_batches(run, "binary")(text)

@@ -78,3 +78,9 @@ def test_batches_of_masks_are_bounded(long_texts):
     made = mask._masked_in_python(mask.unmasked(F.col("t")), [batch_size])
     most = long_texts.select(made["text"].cast("long").alias("n")).agg(F.max("n")).first()[0]
     assert CHARS < most <= MOST + 2 * CHARS
+
+
+@pytest.mark.parametrize("name", ["unmask", "mask_nouns", "mask_terms", "mask_all", "blob_roundtrip", "translate_verify_publish"])
+def test_queries_with_a_python_pass_are_bounded(unbounded, sf_dir, name):
+    core.QUERIES[name](unbounded, sf_dir)
+    assert unbounded.conf.get(KEY) == str(MOST)
